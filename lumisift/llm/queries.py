@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import capping, components, mixing, packing, quotas, ranking, reports, survivors, tokens, variety
+from . import capping, components, mixing, packing, quotas, ranking, reading, reports, survivors, tokens, variety
 
 #: Tokens of a container.
 CAPACITY = 2048
@@ -159,6 +159,20 @@ def _sizes(spark, d):
     return cut_lineage(tokens.document_sizes(table(spark, d, "documents")))
 
 
+def p9_levels(spark, d):
+    return reading.reading_levels(table(spark, d, "documents"), table(spark, d, "reading_labels"))
+
+
+def p9_found(spark, d):
+    return p9_levels(spark, d).filter(F.col("level") >= reading.DEMANDING).select("doc_id")
+
+
+def p9_profile(spark, d):
+    """Documents and words per rounded level."""
+    level = F.floor(F.col("level") + 0.5).cast("int")
+    return p9_levels(spark, d).groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("documents"), F.sum("words").alias("words"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every ``pN_`` query by name."""
     return {k: v for k, v in globals().items() if k[:1] == "p" and k[1:2].isdigit() and callable(v) and k not in ("p1_flagged", "p2_combined", "p8_plan")}
