@@ -19,7 +19,7 @@ def counts_with_share(rows: DataFrame, by: str) -> DataFrame:
 
 
 def statistics_by(rows: DataFrame, group: str, value: str, low: float = 40.0, high: float = 235.0) -> DataFrame:
-    """Mean, population deviation and variance, mean of squares, 10th and 90th percentile and the shares below and above two bounds, at 3 decimals as integers.
+    """Mean, population deviation and variance, mean of squares, 10th and 90th percentile and the shares below and above two bounds, as integers at 3 decimals (the contrast, an interpolated value, at 6).
 
     Null and NaN values do not count.
     """
@@ -35,7 +35,7 @@ def statistics_by(rows: DataFrame, group: str, value: str, low: float = 40.0, hi
         quantised(F.avg((v < low).cast("double")), 3).alias("low_e3"),
         quantised(F.avg((v > high).cast("double")), 3).alias("high_e3"),
     )
-    return stats.withColumn("contrast_e3", quantised(F.col("p")[1] - F.col("p")[0], 3)).drop("p")
+    return stats.withColumn("contrast_e6", quantised(F.col("p")[1] - F.col("p")[0], 6)).drop("p")
 
 
 def summary_text(rows: DataFrame, value: str) -> DataFrame:

@@ -21,14 +21,9 @@ def quality_score() -> Column:
     """Score by which the best frame of a cluster is chosen; missing or NaN terms are left out."""
     brightness = _num("face_brightness_mean")
     exposure = F.when(brightness.between(110, 160), 20.0).when((brightness < 95) | (brightness > 210), -30.0).otherwise(0.0)
-    terms = [
-        F.when(F.col("eye_presence_valid"), 1000.0).otherwise(0.0),
-        F.least(_num("eye_sharpness"), F.lit(10.0)) * 100,
-        F.least(_num("face_laplacian_score"), F.lit(300.0)) * 0.5,
-        F.least(_num("mouth_sharpness"), F.lit(5.0)) * 20,
-        exposure,
-    ]
-    return sum((F.when(t.isNotNull(), t).otherwise(0.0) for t in terms[1:]), terms[0])
+    capped = lambda c, most, weight: F.when(_num(c).isNotNull(), F.least(_num(c), F.lit(most)) * weight).otherwise(0.0)  # noqa: E731 - least() alone would skip a null
+    eyes = F.when(F.col("eye_presence_valid"), 1000.0).otherwise(0.0)
+    return eyes + capped("eye_sharpness", 10.0, 100.0) + capped("face_laplacian_score", 300.0, 0.5) + capped("mouth_sharpness", 5.0, 20.0) + exposure
 
 
 def candidate_parts() -> dict[str, Column]:

@@ -166,7 +166,7 @@ def oracle_sql() -> dict[str, str]:
     tags = f"concat_ws(', ', 'character', '{captions.TAG_START}', replace(lower(shot_type), '_', ' '), replace(lower(pose_bucket), '_', ' '), {', '.join(attrs)}, '{captions.TAG_END}')"
     align = lambda x: f"greatest(floor(({x} + 8) / 16::double) * 16, 16)::int"
     folders = "['all_ranked', 'by_shot/' || shot_type, 'by_pose/' || pose_bucket]"
-    stats = lambda v, lo, hi: f"count(*) as n, {_e(f'avg({v})', 3)} as mean_e3, {_e(f'stddev_pop({v})', 3)} as std_e3, {_e(f'var_pop({v})', 3)} as var_e3, {_e(f'avg({v} * {v})', 3)} as square_e3, {_e(f'avg(({v} < {lo})::int)', 3)} as low_e3, {_e(f'avg(({v} > {hi})::int)', 3)} as high_e3, {_e(f'quantile_cont({v}, 0.9) - quantile_cont({v}, 0.1)', 3)} as contrast_e3"
+    stats = lambda v, lo, hi: f"count(*) as n, {_e(f'avg({v})', 3)} as mean_e3, {_e(f'stddev_pop({v})', 3)} as std_e3, {_e(f'var_pop({v})', 3)} as var_e3, {_e(f'avg({v} * {v})', 3)} as square_e3, {_e(f'avg(({v} < {lo})::int)', 3)} as low_e3, {_e(f'avg(({v} > {hi})::int)', 3)} as high_e3, {_e(f'quantile_cont({v}, 0.9) - quantile_cont({v}, 0.1)', 6)} as contrast_e6"
     two = lambda x: f"printf('%.2f', floor({x} * 100 + 0.5) / 100)"
     return {
         "gate_rows": f"{_GATED} select seq, array_to_string(r, ';') as reasons, len(r) = 0 as face_eligible, cat as face_gate_category from c",
