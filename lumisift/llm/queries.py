@@ -12,8 +12,8 @@ from . import capping, components, mixing, packing, quotas, ranking, reading, re
 
 #: Tokens of a container.
 CAPACITY = 2048
-#: Frames of the varied subset and the largest share of a scene in the share-capped set.
-SUBSET = 500
+#: Share of the posed frames in the varied subset, and the largest share of a scene in the share-capped set.
+SUBSET = 0.3
 SHARE = 0.05
 
 

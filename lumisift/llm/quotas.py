@@ -25,6 +25,8 @@ def allocate(share: np.ndarray, floor: np.ndarray, available: np.ndarray, size:
     low, high = np.minimum(np.maximum(floor, 0), available).astype(float), available.astype(float)
     want = float(min(size, high.sum()))
     share = np.where(np.isfinite(share) & (share > 0), share, 0.0)
+    share = share / share.max() if share.any() else share
+    share[share < 1e-9] = 0.0
     fill = lambda scale: np.clip(scale * share, low, high)
     if low.sum() >= want:
         return low.astype(np.int64)

@@ -139,8 +139,8 @@ def clustered(rows: DataFrame, key: str, features: list[str], clusters: int = CL
     return held.withColumn("cluster", nearest(features, centres))
 
 
-def varied_subset(rows: DataFrame, key: str, group: list[str], features: list[str], size: int, radius: float | None = None, rule: str = "sqrt", clusters: int = CLUSTERS, seed: int = 7, hot_rows: int | None = None) -> DataFrame:
-    """``size`` records that cover the variety of the table: key, group columns, cluster and ``mandatory``.
+def varied_subset(rows: DataFrame, key: str, group: list[str], features: list[str], size: int | float, radius: float | None = None, rule: str = "sqrt", clusters: int = CLUSTERS, seed: int = 7, hot_rows: int | None = None) -> DataFrame:
+    """``size`` records (a float is a share of all) that cover the variety of the table: key, group columns, cluster and ``mandatory``.
 
     Records are clustered by ``features``; each (group, cluster) is a stratum with a square-root or equal quota, and its records
     of smallest random key are taken. With a ``radius``, records that have no other of their group within it are taken first
@@ -162,6 +162,8 @@ def varied_subset(rows: DataFrame, key: str, group: list[str], features: list[st
     rest = placed.filter("not mandatory")
     rest = rest.withColumn("stratum", F.xxhash64(*group, "cluster")).withColumn("u", -F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(1 << 52)) / float(1 << 52))
     strata = rest.groupBy("stratum").agg(F.count(F.lit(1)).alias("n"))
+    if isinstance(size, float):
+        size = round(size * placed.count())
     quota = cluster_quotas(cut_lineage(strata), max(0, size - (must.count() if radius is not None else 0)), rule)
     chosen = top_by_cutoff(rest, "stratum", "u", key, quota, -1.0, 0.0, hot_rows=hot_rows).filter("kept")
     return must.unionByName(chosen.select(*out, "mandatory"))
