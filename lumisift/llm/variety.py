@@ -80,13 +80,16 @@ def isolated(rows: DataFrame, key: str, group: list[str], features: list[str], r
     cells = [f"__c{i}" for i in range(len(features))]
     placed = rows.select(key, *group, cluster, *features, *[F.floor(F.col(f) / side).cast("bigint").alias(c) for f, c in zip(features, cells)])
     own = placed.groupBy(*group, cluster, *cells).agg(F.count(F.lit(1)).alias("__n"), F.min(key).alias("__key"), *[F.min(f).alias(f) for f in features])
-    lone = own.filter("__n = 1").select(*group, F.col("__key").alias("__cand"), *[F.col(f).alias(f"__x{i}") for i, f in enumerate(features)], *cells)
+    lone = cut_lineage(own.filter("__n = 1").select(*group, F.col("__key").alias("__cand"), *[F.col(f).alias(f"__x{i}") for i, f in enumerate(features)], *cells))
     steps = F.array(*[F.lit(x) for x in range(-reach, reach + 1)])
+    around = lone
     for c in cells:
-        lone = lone.withColumn(f"{c}s", F.explode(steps)).withColumn(c, F.col(c) + F.col(f"{c}s")).drop(f"{c}s")
-    lone = cut_lineage(lone)
+        around = around.withColumn("__step", F.explode(steps)).withColumn(c, F.col(c) + F.col("__step")).drop("__step")
+    # Only cells that the circle of the radius reaches: the distance to the nearest point of the cell decides.
+    short = [F.greatest(F.col(c) * side - F.col(f"__x{i}"), F.col(f"__x{i}") - (F.col(c) + 1) * side, F.lit(0.0)) for i, c in enumerate(cells)]
+    around = around.filter(sum((x * x for x in short), F.lit(0.0)) <= radius * radius + 1e-6)
     # Candidates by cell as one row, so that each record meets one partner row even where a cell holds a third of all records.
-    around = lone.groupBy(*group, *cells).agg(F.collect_list(F.struct("__cand", *[f"__x{i}" for i in range(len(features))])).alias("__near"))
+    around = around.groupBy(*group, *cells).agg(F.collect_list(F.struct("__cand", *[f"__x{i}" for i in range(len(features))])).alias("__near"))
     sizes = placed.groupBy(*group, *cells).agg(F.count(F.lit(1)).alias("__rows"))
     around = around.join(sizes, [*group, *cells])
     met = skew_join(placed.select(key, *group, *features, *cells), around, [*group, *cells], "__rows", hot_threshold(rows.count()), F.col(key), "inner")
