@@ -12,8 +12,11 @@ from ..session import cut_lineage
 from .graph import component_labels
 from .prefix import prefix_counts
 from .ranks import best_per_group
+from .skew import hot_threshold, skew_join
 
 _KEY = ("scene", "shot", "t", "yaw", "pitch", "gh", "fh")
+#: Classes of a scene and shot type that are compared one by one.
+SMALL = 128
 #: Widths of the pieces of a 64-bit hash; two hashes that differ in fewer bits than there are pieces share one.
 _PIECES = (6, 6, 6, 6, 6, 6, 6, 6, 6, 5, 5)
 
@@ -49,29 +52,35 @@ def frame_classes(frames: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def near_pairs(classes: DataFrame, p: DedupParams = DedupParams()) -> DataFrame:
-    """Pairs (a, b) of class representatives that are near duplicates; both orders are one pair, a < b.
+    """Pairs (a, b, block) of class representatives that are near duplicates; both orders are one pair, a < b.
 
-    Two blockings, each with its own residual test, cover the rule exactly: frames at most ``time_window``
-    apart meet in a window of time, and frames alike whatever their time meet in a cell of the pose grid under an equal piece
-    of a hash (with more pieces than differing bits one must be equal). No block is a whole scene.
+    In a scene and shot type of at most ``SMALL`` classes all are compared. In a larger one two blockings, each with the full test behind it, cover the rule exactly:
+    frames at most ``time_window`` apart meet in a window of time, and frames alike whatever their time meet in a cell of the pose grid under an equal piece of a hash
+    (with more pieces than differing bits one must be equal). No block is a whole large scene.
     """
     if p.phash >= len(_PIECES):
         raise ValueError(f"phash must be below {len(_PIECES)}")
+    # Two hashes of scene and shot stand for the strings; together they are as good as unique.
+    keyed = classes.select(F.xxhash64("scene", "shot").alias("block"), F.hash("shot", "scene").alias("check"), "rep", "t", "yaw", "pitch", "gh", "fh")
+    sizes = keyed.groupBy("block").agg(F.count(F.lit(1)).alias("rows")).withColumn("n", F.col("rows"))
+    sized = cut_lineage(skew_join(keyed, sizes, ["block"], "rows", hot_threshold(classes.count()), F.col("rep"), "inner"))
+    small, large = sized.filter(F.col("n") <= SMALL).drop("n"), sized.filter(F.col("n") > SMALL).drop("n")
+    same = (F.col("a.block") == F.col("b.block")) & (F.col("a.check") == F.col("b.check")) & (F.col("a.rep") != F.col("b.rep")) & _close("a", "b", p)
+    direct = small.alias("a").join(small.alias("b"), (F.col("a.block") == F.col("b.block")) & (F.col("a.rep") < F.col("b.rep")) & same)
     span = p.time_window + 1
-    left = classes.withColumn("slot", F.floor(F.col("t") / span))
-    right = classes.withColumn("slot", F.explode(F.array(F.floor(F.col("t") / span), F.floor(F.col("t") / span) - 1)))
-    keys = lambda *ks: [F.col(f"a.{k}") == F.col(f"b.{k}") for k in ("scene", "shot", *ks)]
-    timed = left.alias("a").join(right.alias("b"), keys("slot"), "inner").filter((F.col("a.rep") != F.col("b.rep")) & _close("a", "b", p))
-    side = 2 * p.strict_angle
+    slot = F.floor(F.col("t") / span)
+    left = large.withColumn("key", F.xxhash64("block", slot))
+    right = large.withColumn("slot", F.explode(F.array(slot, slot - 1))).withColumn("key", F.xxhash64("block", "slot")).drop("slot")
+    timed = left.alias("a").join(right.alias("b"), (F.col("a.key") == F.col("b.key")) & same)
+    side, near = 2 * p.strict_angle, p.strict_angle
     cell = lambda c, by: F.floor((F.col(c) + by) / side)
-    banded = classes.filter("yaw is not null and pitch is not null").withColumn("x", F.explode(F.concat(_pieces(F.col("gh"), "g"), _pieces(F.col("fh"), "f"))))
-    banded = banded.select("*", "x.band", "x.piece")
-    one = banded.withColumn("cy", cell("yaw", 0.0)).withColumn("cp", cell("pitch", 0.0))
-    near = p.strict_angle
+    banded = large.filter("yaw is not null and pitch is not null").withColumn("x", F.explode(F.concat(_pieces(F.col("gh"), "g"), _pieces(F.col("fh"), "f"))))
+    one = banded.withColumn("key", F.xxhash64("block", cell("yaw", 0.0), cell("pitch", 0.0), "x.band", "x.piece")).drop("x")
     around = banded.withColumn("cy", F.explode(F.array_distinct(F.array(cell("yaw", -near), cell("yaw", near))))).withColumn("cp", F.explode(F.array_distinct(F.array(cell("pitch", -near), cell("pitch", near)))))
-    posed = one.alias("a").join(around.alias("b"), keys("cy", "cp", "band", "piece"), "inner").filter((F.col("a.rep") < F.col("b.rep")) & _close("a", "b", p))
-    both = timed.select("a.rep", F.col("b.rep").alias("other")).unionByName(posed.select("a.rep", F.col("b.rep").alias("other")))
-    return both.select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b")).distinct()
+    around = around.withColumn("key", F.xxhash64("block", "cy", "cp", "x.band", "x.piece")).drop("x", "cy", "cp")
+    posed = one.alias("a").join(around.alias("b"), (F.col("a.key") == F.col("b.key")) & (F.col("a.rep") < F.col("b.rep")) & same)
+    found = [x.select(F.col("a.block").alias("block"), F.least("a.rep", "b.rep").alias("a"), F.greatest("a.rep", "b.rep").alias("b")) for x in (direct, timed, posed)]
+    return found[0].unionByName(found[1]).unionByName(found[2]).distinct()
 
 
 def duplicate_links(frames: DataFrame, p: DedupParams = DedupParams()) -> DataFrame:
@@ -82,7 +91,7 @@ def duplicate_links(frames: DataFrame, p: DedupParams = DedupParams()) -> DataFr
     """
     classes, members = frame_classes(frames)
     pairs = cut_lineage(near_pairs(classes, p))
-    labels = component_labels(classes.select(F.col("rep").alias("node")), pairs, "node", "a", "b")
+    labels = component_labels(classes.select(F.col("rep").alias("node")), pairs, "node", "a", "b", block="block")
     sizes = classes.select(F.col("rep").alias("other"), F.col("size").alias("n"))
     ways = pairs.select(F.col("a").alias("rep"), F.col("b").alias("other")).unionByName(pairs.select(F.col("b").alias("rep"), F.col("a").alias("other")))
     partners = ways.join(sizes, "other").groupBy("rep").agg(F.sum("n").alias("partners"))

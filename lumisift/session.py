@@ -55,3 +55,12 @@ def cut_lineage(df):
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df):
+    """Rows dealt out evenly where the input has fewer partitions than there are cores.
+
+    For Python-heavy stages over few, small files; an input of many partitions, as at scale, is not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df

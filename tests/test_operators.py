@@ -68,6 +68,11 @@ def test_components(spark):
     nodes = spark.createDataFrame([(i,) for i in (1, 2, 3, 5, 10, 11, 12, 13, 14)], "node bigint")
     got = {r["node"]: r["component"] for r in graph.component_labels(nodes, spark.createDataFrame(edges, "src bigint, dst bigint")).collect()}
     assert got == {1: 1, 2: 1, 3: 1, 5: 5, 10: 10, 11: 10, 12: 10, 13: 10, 14: 10}
+    ids = spark.createDataFrame([(i,) for i in range(40)], "n bigint")
+    chain = spark.createDataFrame([(i, i + 1) for i in range(39)], "a bigint, b bigint")
+    assert {r["c"] for r in graph.propagate_labels(ids, chain).collect()} == {0}
+    long = graph.component_labels(ids.withColumnRenamed("n", "node"), chain.repartition(7).withColumn("k", F.lit(1)), "node", "a", "b")
+    assert {r["component"] for r in long.collect()} == {0}
 
 
 def near(a, b, p):
@@ -77,7 +82,9 @@ def near(a, b, p):
     return a[1] == b[1] and a[2] == b[2] and ((gap <= p.angle and abs(a[3] - b[3]) <= p.time_window and min(g, f) <= p.near_hash) or (gap <= p.strict_angle and min(g, f) <= p.phash))
 
 
-def test_duplicates_against_brute_force(spark):
+@pytest.mark.parametrize("small", [128, 2])
+def test_duplicates_against_brute_force(spark, monkeypatch, small):
+    monkeypatch.setattr(dedup, "SMALL", small)
     rnd = random.Random(2)
     seeds = [rnd.getrandbits(64) - 2**63 for _ in range(6)]
 
