@@ -2,84 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.spelling import base_name
+from ..operators.graph import union_find, unite_portions
 from ..operators.skew import hot_threshold, skew_join
 from ..session import cut_lineage
 from .reports import number
 
-#: Edges that one grid cell should hold on average.
+#: Edges that one grid cell should hold on average; a fuller one is united in portions, which the next round unites with one another.
 CELL_EDGES = 500_000
-#: Edges that a task unites at once; a fuller cell is worked off in several such portions, which the
-#: next round unites with one another.
-PORTION = 1_000_000
 #: Times the parents of a round are replaced by their parents' parents.
 JUMPS = 2
 ROUNDS = 60
 
-
-def _priority(x: np.ndarray) -> np.ndarray:
-    """A fixed pseudo-random order of the vertices (splitmix64), so that chains of parents stay short."""
-    with np.errstate(over="ignore"):
-        z = x.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)
-        z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return z ^ (z >> np.uint64(31))
-
-
-def union_find(src: np.ndarray, dst: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Vertices of an edge list and the representative (first in priority) of each one's component.
-
-    Union-find by whole arrays: every edge hooks the later of its two roots under the earlier, then all paths
-    are halved until they are flat; repeated until no edge joins two roots.
-    """
-    ids, flat = np.unique(np.concatenate([src, dst]), return_inverse=True)
-    order = np.argsort(_priority(ids), kind="stable")
-    place = np.empty_like(order)
-    place[order] = np.arange(len(order))
-    u, v = place[flat[: len(src)]], place[flat[len(src) :]]
-    parent = np.arange(len(ids))
-    while len(u):
-        low, high = np.minimum(u, v), np.maximum(u, v)
-        np.minimum.at(parent, high, low)
-        while True:
-            up = parent[parent]
-            if np.array_equal(up, parent):
-                break
-            parent = up
-        u, v = parent[u], parent[v]
-        apart = u != v
-        u, v = u[apart], v[apart]
-    return ids, ids[order[parent[place]]]
-
-
-def _unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each portion of edges as links (vertex, representative) of its local components."""
-
-    def portions():
-        held, n = [], 0
-        for batch in batches:
-            if batch.num_rows:
-                held.append(batch)
-                n += batch.num_rows
-            if n >= PORTION:
-                yield held
-                held, n = [], 0
-        if held:
-            yield held
-
-    for held in portions():
-        src = np.concatenate([b.column(0).to_numpy() for b in held])
-        dst = np.concatenate([b.column(1).to_numpy() for b in held])
-        ids, rep = union_find(src, dst)
-        moved = ids != rep
-        yield pa.RecordBatch.from_arrays([pa.array(ids[moved]), pa.array(rep[moved])], names=["v", "r"])
+__all__ = ["connected_components", "report_links", "union_find"]
 
 
 def _grid(edges: DataFrame, count: int) -> DataFrame:
@@ -113,7 +52,7 @@ def connected_components(edges: DataFrame, src: str, dst: str) -> DataFrame:
     for _ in range(ROUNDS):
         if not count:
             break
-        links = cut_lineage(_grid(graph, count).mapInArrow(_unite, "v bigint, r bigint"))
+        links = cut_lineage(_grid(graph, count).mapInArrow(unite_portions, "v bigint, r bigint"))
         parents = links.groupBy("v").agg(first("r").alias("p"))
         for _ in range(JUMPS):
             up = parents.select(F.col("v").alias("p"), F.col("p").alias("pp"))

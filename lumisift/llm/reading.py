@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, spread
 
 #: Share of a sentence's words that the smallest vocabulary must cover.
 COVER = 0.65
@@ -320,7 +320,7 @@ def reading_levels(documents: DataFrame, labels: DataFrame, labelled: int = LABE
     gets its row under null; repeated rows get a row each.
     """
     context = documents.sparkSession.sparkContext
-    documents = documents.select("doc_id", "lang", "text")
+    documents = spread(documents.select("doc_id", "lang", "text"))
     known = label_levels(labels).orderBy(F.xxhash64("doc_id"), "doc_id").limit(labelled)
     sample = cut_lineage(documents.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("level", "text"))
     ranks = corpus_vocabulary(documents)

@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import spread
+
 #: Folder of the vocabulary files.
 FOLDER = "/opt/tokenizers"
 #: Default vocabulary, a byte-level BPE.
@@ -51,6 +53,6 @@ def token_count(text: Column, path: str = VOCABULARY) -> Column:
 
 
 def document_sizes(documents: DataFrame, path: str = VOCABULARY) -> DataFrame:
-    """``doc_id``, ``source`` and ``n_tokens`` per document; rows without doc_id are left out, of a repeated one the longest counts."""
-    rows = documents.filter(F.col("doc_id").isNotNull()).select("doc_id", "source", token_count(F.col("text"), path).alias("n_tokens"))
-    return rows
+    """``doc_id``, ``source`` and ``n_tokens`` of every row, whole texts; null and empty texts have 0. Rows without a doc_id are left out."""
+    rows = spread(documents.select("doc_id", "source", "text").filter(F.col("doc_id").isNotNull()))
+    return rows.select("doc_id", "source", token_count(F.col("text"), path).alias("n_tokens"))
