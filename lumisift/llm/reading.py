@@ -26,6 +26,8 @@ LANGUAGES = 8
 LANGUAGE_LABELS = 5
 #: A sentence longer than this (lost punctuation) is read in stretches of so many words.
 STRETCH = 30
+#: Characters of text that a worker turns into arrays at once.
+CHARACTERS = 2_000_000
 #: Levels from here count as demanding.
 DEMANDING = 3.5
 FEATURES = ("everyday", "learned", "corpus", "length")
@@ -192,7 +194,20 @@ class Vocabulary:
         """Rows of FEATURES per sentence, its words, its text's number; and the language of each text.
 
         A coverage feature is the logarithm of the smallest rank R, as a share of the vocabulary, such that its first R words cover ``cover`` of the sentence.
+        A batch is worked off in runs of about CHARACTERS, so that memory does not follow the length of its texts.
         """
+        parts, start, size = [], 0, 0
+        for i, t in enumerate(texts):
+            size += len(t or "")
+            if size >= CHARACTERS or i == len(texts) - 1:
+                rows, length, text, language = self._features(texts[start : i + 1], cover)
+                parts.append((rows, length, text + start, language))
+                start, size = i + 1, 0
+        if not parts:
+            return self._features([], cover)
+        return tuple(np.concatenate(x) for x in zip(*parts))
+
+    def _features(self, texts: list[str | None], cover: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         ids, text = self._ids(texts)
         language = self.languages_of(ids, text, len(texts))
         sentence = np.cumsum(ids == -2)

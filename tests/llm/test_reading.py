@@ -47,6 +47,16 @@ def test_small_corpus_with_dirt(spark):
     assert level[39] < 2 and level[38] > 4 and level[103] > 4 and level[104] > 3.5
 
 
+def test_runs_of_a_batch_give_the_same_features(monkeypatch):
+    v = reading.Vocabulary([(w, {"en": 9 - i}) for i, w in enumerate("the cat sat hat epistemological".split())], ["en", "de"])
+    texts = [EASY, None, HARD, "", EASY + " " + HARD] * 3
+    whole = v.features(texts)
+    monkeypatch.setattr(reading, "CHARACTERS", 60)
+    for a, b in zip(whole, v.features(texts)):
+        assert np.array_equal(a, b)
+    assert v.features([])[0].shape == (0, len(reading.FEATURES))
+
+
 def test_no_labels_and_empty(spark):
     d, none = tables(spark, [(1, EASY, "en")], [])
     assert [r["level"] for r in reading.reading_levels(d, none).collect()] == [None]
