@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..functions import captions
-from ..params import BASE_THRESHOLDS, POSE_MODIFIERS
+from ..params import BASE_THRESHOLDS, POSE_MAX, POSE_MIN, POSE_MODIFIERS, SHOT_MAX, SHOT_MIN
 
 
 def _n(c: str) -> str:
@@ -154,6 +154,30 @@ _REST = f"""with r as (select seq, filename, coalesce(shot_type = 'FULL_BODY' an
 decided as (select *, case when not wanted then 'untouched_raw_camera' when after >= 0.6::double and after - before >= -0.08::double and fidelity >= 0.82::double then 'safely_restored' else 'rollback_to_original' end as restoration_status from r)"""
 
 
+def _selection() -> str:
+    """The three phases of the selection, row by row, with the counters as maps."""
+    cap = "case when scene like '%reference%' or scene like '%identity%' then 15 else 8 end"
+    table = lambda c, t, d: "case " + " ".join(f"when {c} = '{k}' then {v}" for k, v in t.items()) + f" else {d} end"
+    counts = lambda c: f"coalesce((select map_from_entries(list(row({c}, n))) from (select {c}, count(*)::int as n from pool where profile group by 1)), map([]::varchar[], []::int[]))"
+    more = lambda m, c: f"case when t then map_concat({m}, map([{c}], [coalesce({m}[{c}], 0) + 1])) else {m} end"
+    state = f"{more('sc', 'scene')}, {more('sh', 'shot')}, {more('po', 'pose')}, n + t::int"
+    two = f"not profile and not done and coalesce(sc[scene], 0) < cap and (coalesce(sh[shot], 0) < {table('shot', SHOT_MIN, 0)} or coalesce(po[pose], 0) < {table('pose', POSE_MIN, 0)})"
+    three = f"not profile and n < 65 and not coalesce(took2, false) and coalesce(sc[scene], 0) < cap and coalesce(sh[shot], 0) < {table('shot', SHOT_MAX, 999)} and coalesce(po[pose], 0) < {table('pose', POSE_MAX, 999)}"
+    return f"""with recursive scored as (select seq, lower({_scene('filename')}) as scene, coalesce(shot_type, 'UPPER_BODY') as shot, coalesce(pose_bucket, 'FRONT') as pose, {' + '.join(f'({v})' for v in _PARTS.values())} as score from step7_dataset_report where identity_passed),
+    pool as (select *, floor(score * 100 + 0.5) / 100 as score2, pose like '%PROFILE%' as profile, {cap} as cap, row_number() over (order by floor(score * 100 + 0.5) / 100 desc, seq) as i from scored),
+    p2(i, seq, took, sc, sh, po, n, done) as (
+      select 0::bigint, null::bigint, false, {counts('scene')}, {counts('shot')}, {counts('pose')}, (select count(*)::int from pool where profile), false
+      union all select i, seq, t, {state}, done or (t and n + 1 >= 65) from (select pool.*, p2.sc, p2.sh, p2.po, p2.n, p2.done, {two} as t from p2 join pool on pool.i = p2.i + 1)),
+    took as (select pool.*, p2.took as took2 from pool join p2 using (seq)),
+    p3(i, seq, took, sc, sh, po, n) as (
+      select 0::bigint, null::bigint, false, sc, sh, po, n from (select * from p2 order by i desc limit 1)
+      union all select i, seq, t, {state} from (select took.*, p3.sc, p3.sh, p3.po, p3.n, {three} as t from p3 join took on took.i = p3.i + 1)),
+    phases as (select took.seq, shot, pose, score2, case when profile then 1 when took2 then 2 when p3.took then 3 end as phase from took join p3 using (seq)),
+    ranks as (select seq, row_number() over (order by score2 desc, phase, seq) as candidate_rank from phases where phase is not null)
+    select phases.seq, shot || '_' || pose as quota_cell, case phase when 1 then 'selected_profile_priority' when 2 then 'selected_quota_minimum' when 3 then 'selected_score_fill' else 'rejected_quota_exceeded' end as quota_status,
+      phase is not null as candidate_selected, candidate_rank from phases left join ranks using (seq)"""
+
+
 def _attributes(phrases: dict[str, list[str]]) -> list[str]:
     return [f"([{', '.join(repr(x) for x in phrases[a])}])[seq % {len(phrases[a])} + 1]" for a in captions.ATTRIBUTES]
 
@@ -236,6 +260,9 @@ def oracle_sql() -> dict[str, str]:
             select seq, {_e('p_ID + p_Sharp + p_Res + p_Exp + p_Bonus', 4)} as score_e4, {" || '+' || ".join(f"printf('{k}=%.1f', floor(p_{k} * 10 + 0.5) / 10)" for k in ('ID', 'Sharp', 'Res', 'Exp'))} || '+' || printf('Bonus=%d', p_Bonus) as reason from p""",
         "quota_distribution": f"""with k as (select shot_type, count(*) as n from step7_dataset_report where candidate_selected group by 1), t(shot_type, least, most) as (values ('CLOSE_UP', 10, 14), ('UPPER_BODY', 25, 35), ('FULL_BODY', 18, 25)),
             j as (select coalesce(k.shot_type, t.shot_type) as shot_type, coalesce(n, 0) as n, coalesce(least, 0) as least, coalesce(most, 999) as most from k full join t on k.shot_type = t.shot_type) select *, {_share('n', 'sum(n) over ()')} as share_e4 from j""",
+        "quota_selection": _selection(),
+        "training_guide": f"""{_CAND} select printf('# Training set of %s\n\n## Contents\n- Pictures: %d\n- Close-ups: %d, upper body: %d, full body: %d\n- Sides are multiples of %d\n\n## Captions\nEvery caption names clothing, hair, expression, background and light, so that only the subject binds to the trigger word.\n',
+            'character', count(*), count(*) filter (shot_type = 'CLOSE_UP'), count(*) filter (shot_type = 'UPPER_BODY'), count(*) filter (shot_type = 'FULL_BODY'), 16) as value from cand""",
         "selected_scenes": "select count(distinct scene_group) as scenes from step7_dataset_report where candidate_selected",
         "scene_burst_cap": "select distinct scene_group, case when lower(scene_group) like '%reference%' or lower(scene_group) like '%identity%' then 15 else 8 end as cap from step4_dataset_report",
         "upsert_merge": """with o as (select *, row_number() over (partition by filename order by seq desc) rn from step3_dataset_report where run_id < 500)
