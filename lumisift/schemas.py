@@ -35,7 +35,7 @@ STEP10 = (
 SHOT_TYPES = ("CLOSE_UP", "UPPER_BODY", "FULL_BODY")
 POSE_BUCKETS = ("FRONT", "LEFT_3Q", "RIGHT_3Q", "LEFT_PROFILE", "RIGHT_PROFILE", "LOOKING_UP", "LOOKING_DOWN", "EXTREME_POSE")
 POSE_NAME_ORDER = ("FRONT", "LEFT_3Q", "RIGHT_3Q", "LEFT_PROFILE", "RIGHT_PROFILE", "LOOKING_DOWN", "LOOKING_UP")
-STEP_NAMES = {2: "STEP2_TECHNICAL_METRICS", 10: "STEP10_PACKAGING"}
+STEP_NAMES = {2: "STEP2_TECHNICAL_METRICS", 3: "STEP3_FACE_GATE", 4: "STEP4_POSE_CLASSIFICATION", 5: "STEP5_FACE_DEDUPLICATION", 6: "STEP6_IDENTITY_EVALUATION", 7: "STEP7_LORA_CANDIDATE_SELECTION", 9: "STEP9_SELECTIVE_RESTORATION", 10: "STEP10_PACKAGING"}
 
 
 def struct(ddl: str) -> T.StructType:
