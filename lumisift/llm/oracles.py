@@ -77,6 +77,10 @@ def oracle_sql() -> dict[str, str]:
             select run_id, grp as duplicate_group, frame_id from (
               select run_id, grp, frame_id, row_number() over (partition by run_id, grp order by q desc, frame_id) place from v join m using (run_id, grp) where rn = 1) where place = 1""",
         "p4_found": f"with recursive {_LINKS} select a as frame_id, min(b) as group_id from reach group by 1",
+        "p4_sizes": f"with recursive {_LINKS}, g as (select a, min(b) as group_id from reach group by 1) select group_id, count(*) as frames from g group by 1",
+        "p1_share_capped": f"""{_CAPPED}, sizes as (select scene, count(*) as n from named group by 1), tries as (select unnest(range(1, (select max(n) + 1 from sizes))) as c),
+            cap as (select coalesce(max(c), (select min(n) from sizes)) as c from tries where c <= 0.05::double * (select sum(least(n, tries.c)) from sizes) + 1e-9)
+            select scene, n as frames, least(n, (select c from cap)) as kept_frames from sizes""",
         "p5_found": f"{_POSED} select frame_id from f where not exists (select 1 from f g where g.scene = f.scene and g.cell = f.cell and g.frame_id <> f.frame_id and (g.y - f.y) * (g.y - f.y) + (g.p - f.p) * (g.p - f.p) <= 144.000000001)",
         "p6_found": f"{_CELLS} select request_id, quota_cell from cells where unmet",
         "p6_cells": f"{_CELLS} select request_id, quota_cell, available, unmet from cells",
