@@ -11,13 +11,13 @@ from ..session import cut_lineage
 def prefix_counts(values: DataFrame, group: str, value: str, count: str, partitions: int | None = None) -> DataFrame:
     """Add ``below`` (sum of ``count`` over smaller values of the group) and ``total`` of the group.
 
-    ``values`` has one row per (group, value). The rows are range-partitioned and written once, so
+    ``values`` has one row per (group, value) and keeps its other columns. The rows are range-partitioned and written once, so
     that a partition number names the same values in each later read; the totals per partition (at
     most partitions x groups rows) are summed in front of it and only rows of one partition are
     windowed together. An empty input gives an empty result.
     """
     n = partitions or int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = cut_lineage(values.select(group, value, count).repartitionByRange(n, group, value).withColumn("__part", F.spark_partition_id()))
+    placed = cut_lineage(values.repartitionByRange(n, group, value).withColumn("__part", F.spark_partition_id()))
     sums = placed.groupBy(group, "__part").agg(F.sum(count).alias("__sum"))
     ahead = Window.partitionBy(group).orderBy("__part")
     sums = sums.select(group, "__part", (F.sum("__sum").over(ahead) - F.col("__sum")).alias("__before"), F.sum("__sum").over(Window.partitionBy(group)).alias("total"))
@@ -25,5 +25,5 @@ def prefix_counts(values: DataFrame, group: str, value: str, count: str, partiti
     return (
         placed.join(F.broadcast(sums), [group, "__part"])
         .withColumn("below", F.col("__before") + F.coalesce(F.sum(count).over(inside), F.lit(0)))
-        .select(group, value, count, "below", "total")
+        .select(*values.columns, "below", "total")
     )

@@ -10,27 +10,25 @@ from .prefix import prefix_counts
 from .skew import hot_threshold, skew_join
 
 
-def _value_ranks(rows: DataFrame, value: str, out: str, rank: Column) -> DataFrame:
-    """Join a function of (below, eq, total, dense, distinct), computed per distinct value, back to the rows."""
+def _value_ranks(rows: DataFrame, value: str, out: str, count: str, rank: Column) -> DataFrame:
+    """Join ``rank``, a function of a value's rows ``eq`` and the prefix counts of ``count`` (``eq`` rows or ``one`` per value), back to the rows."""
     held = cut_lineage(rows)
     real = held.filter(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
-    values = real.groupBy(F.lit(0).alias("g"), F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("eq"))
-    by_rows = prefix_counts(values, "g", "v", "eq").select("v", "eq", "below", "total")
-    by_values = prefix_counts(values.select("g", "v", F.lit(1).cast("bigint").alias("one")), "g", "v", "one").select("v", F.col("below").alias("dense"), F.col("total").alias("distinct"))
-    ranked = by_rows.join(by_values, "v").select(F.col("v").alias(value), F.col("eq").alias("__rows"), rank.alias(out))
+    values = real.groupBy(F.lit(0).alias("g"), F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("eq")).withColumn("one", F.lit(1).cast("bigint"))
+    ranked = prefix_counts(values, "g", "v", count).select(F.col("v").alias(value), F.col("eq").alias("__rows"), rank.alias(out))
     return skew_join(held, ranked, [value], "__rows", hot_threshold(held.count()), F.col(rows.columns[0]), "left")
 
 
 def dense_percentile(rows: DataFrame, value: str, out: str) -> DataFrame:
     """100 * (dense rank - 1) / (distinct values - 1), at two decimals; 100 for a single value, null for null and NaN."""
-    pct = F.when(F.col("distinct") == 1, 100.0).otherwise(F.floor(F.col("dense") * 100.0 / (F.col("distinct") - 1) * 100 + 0.5) / 100)
-    return _value_ranks(rows, value, out, pct)
+    pct = F.when(F.col("total") == 1, 100.0).otherwise(F.floor(F.col("below") * 100.0 / (F.col("total") - 1) * 100 + 0.5) / 100)
+    return _value_ranks(rows, value, out, "one", pct)
 
 
 def midrank_percentile(rows: DataFrame, value: str, out: str) -> DataFrame:
     """100 * mean zero-based rank of the tie block / (n - 1); 100 for a single row, null for null and NaN."""
     pct = F.when(F.col("total") == 1, 100.0).otherwise((F.col("below") + (F.col("eq") - 1) / 2) / (F.col("total") - 1) * 100)
-    return _value_ranks(rows, value, out, pct)
+    return _value_ranks(rows, value, out, "eq", pct)
 
 
 def global_row_number(rows: DataFrame, order: list[Column], out: str) -> DataFrame:

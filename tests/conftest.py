@@ -13,7 +13,7 @@ TESTDATA = Path(os.environ.get("TESTDATA", "/root/testdata"))
 def spark():
     from lumisift.session import get_session
 
-    return get_session("tests", cores=4, shuffle_partitions=4)
+    return get_session("tests", cores=8, shuffle_partitions=4)
 
 
 @pytest.fixture(scope="session")
