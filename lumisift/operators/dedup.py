@@ -45,10 +45,12 @@ def frame_classes(frames: DataFrame) -> tuple[DataFrame, DataFrame]:
     scene or shot is a value like others. Copies are counted on the map side.
     """
     ready = frames.filter("gh is not null or fh is not null").select("seq", F.coalesce("scene", F.lit("")).alias("scene"), F.coalesce("shot", F.lit("")).alias("shot"), *_KEY[2:])
-    classes = cut_lineage(ready.groupBy(*_KEY).agg(F.min("seq").alias("rep"), F.count(F.lit(1)).alias("size")))
-    on = [F.col(f"m.{k}").eqNullSafe(F.col(f"c.{k}")) for k in _KEY]
-    members = ready.alias("m").join(classes.alias("c"), on).select("m.seq", "c.rep", "c.size")
-    return classes, members
+    # One text key for the compared values (null has its own sign), so that a class with very many copies can be joined apart.
+    ready = cut_lineage(ready.withColumn("copy_key", F.concat_ws("\u0001", *[F.coalesce(F.col(k).cast("string"), F.lit("\u0002")) for k in _KEY])))
+    classes = cut_lineage(ready.groupBy("copy_key", *_KEY).agg(F.min("seq").alias("rep"), F.count(F.lit(1)).alias("size")))
+    known = classes.select("copy_key", "rep", "size", F.col("size").alias("rows"))
+    members = skew_join(ready.select("copy_key", "seq"), known, ["copy_key"], "rows", hot_threshold(ready.count()), F.col("seq"), "inner").select("seq", "rep", "size")
+    return classes.drop("copy_key"), members
 
 
 def near_pairs(classes: DataFrame, p: DedupParams = DedupParams()) -> DataFrame:
@@ -96,9 +98,10 @@ def duplicate_links(frames: DataFrame, p: DedupParams = DedupParams()) -> DataFr
     ways = pairs.select(F.col("a").alias("rep"), F.col("b").alias("other")).unionByName(pairs.select(F.col("b").alias("rep"), F.col("a").alias("other")))
     partners = ways.join(sizes, "other").groupBy("rep").agg(F.sum("n").alias("partners"))
     posed = F.col("yaw").isNotNull() & F.col("pitch").isNotNull()
-    own = classes.select("rep", posed.alias("posed"), F.when(posed, F.col("size") - 1).otherwise(0).alias("copies"))
+    own = classes.select("rep", F.col("size").alias("rows"), posed.alias("posed"), F.when(posed, F.col("size") - 1).otherwise(0).alias("copies"))
     per_class = own.join(partners, "rep", "left").join(labels, F.col("rep") == F.col("node"))
-    joined = members.join(per_class.select("rep", "component", "posed", (F.col("copies") + F.coalesce("partners", F.lit(0))).alias("links")), "rep")
+    per_class = per_class.select("rep", "rows", "component", "posed", (F.col("copies") + F.coalesce("partners", F.lit(0))).alias("links"))
+    joined = skew_join(members, per_class, ["rep"], "rows", hot_threshold(members.count()), F.col("seq"), "inner")
     return joined.select("seq", F.when(F.col("posed"), F.col("component")).otherwise(F.col("seq")).alias("component"), "links")
 
 
@@ -115,7 +118,7 @@ def clusters(frames: DataFrame, linked: DataFrame) -> DataFrame:
     order = prefix_counts(sizes.select(F.lit(0).alias("g"), F.col("first").alias("v"), F.lit(1).cast("bigint").alias("n")), "g", "v", "n")
     numbered = sizes.join(order.select(F.col("v").alias("first"), (F.col("below") + 1).alias("number")), "first")
     per = numbered.join(best.select("component", F.col("seq").alias("best_seq"), F.col("filename").alias("group_best"), F.col("yaw").alias("by"), F.col("pitch").alias("bp"), F.col("gh").alias("bh")), "component")
-    joined = rows.join(per, "component")
+    joined = skew_join(rows, per.withColumn("__rows", F.col("group_size")), ["component"], "__rows", hot_threshold(rows.count()), F.col("seq"), "inner")
     status = F.when(F.col("group_size") == 1, "unique").when(F.col("seq") == F.col("best_seq"), "representative").otherwise("duplicate")
     return joined.select(
         "seq",
