@@ -129,11 +129,16 @@ def realise(sizes: DataFrame, plan: DataFrame, seed: int = 7) -> DataFrame:
     mixes = open_.groupBy("source_key").agg(F.max("available_docs").alias("rows"), F.collect_list(F.struct("mix_id", "named", "passes")).alias("mixes"))
     docs = skew_join(keyed, mixes, ["source_key"], "rows", hot_threshold(total), F.col("doc_id"), "inner").withColumn("m", F.explode("mixes"))
     docs = docs.select("source_key", "block", "doc_id", "n_tokens", F.col("m.mix_id").alias("mix_id"), F.col("m.named").alias("source"), F.col("m.passes").alias("passes"))
-    docs = docs.join(by_block, ["mix_id", "source_key", "block"], "left")
-    inside = Window.partitionBy("mix_id", "source_key", "block").orderBy(F.xxhash64(F.lit(seed), "mix_id", "doc_id"), "doc_id")
-    docs = docs.withColumn("ahead", F.sum("n_tokens").over(inside) - F.col("n_tokens"))
-    one_more = F.coalesce(F.col("whole") | (F.col("ahead") + F.col("n_tokens") / 2 <= F.col("room")), F.lit(False))
-    return docs.withColumn("copies", F.col("passes") + one_more.cast("bigint")).filter("copies > 0").select("mix_id", "source", "doc_id", "n_tokens", "copies")
+    on = ["mix_id", "source_key", "block"]
+    by_block = cut_lineage(by_block)
+    kept = ["mix_id", "source", "doc_id", "n_tokens", "copies"]
+    settled = docs.join(by_block, on, "left").filter(F.coalesce("whole", F.lit(True))).withColumn("copies", F.col("passes") + F.coalesce("whole", F.lit(False)).cast("bigint"))
+    # Only the one block of a mix and source that passes the budget is put in order.
+    border = docs.join(by_block.filter("not whole"), on)
+    inside = Window.partitionBy(*on).orderBy(F.xxhash64(F.lit(seed), "mix_id", "doc_id"), "doc_id")
+    border = border.withColumn("ahead", F.sum("n_tokens").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n_tokens"))
+    border = border.withColumn("copies", F.col("passes") + (F.col("ahead") + F.col("n_tokens") / 2 <= F.col("room")).cast("bigint"))
+    return settled.select(*kept).unionByName(border.select(*kept)).filter("copies > 0")
 
 
 def mix_report(plan: DataFrame, drawn: DataFrame) -> DataFrame:
