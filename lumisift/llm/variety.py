@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import warnings
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -102,22 +103,28 @@ def cluster_quotas(strata: DataFrame, size: int, rule: str = "sqrt") -> DataFram
     """``quota`` per stratum (columns stratum, n): equal or in proportion to the square root of n, summing to ``size``.
 
     A stratum never gets more than it has; its unused slots go to the others by bisecting the scale of the quotas. Whole numbers
-    are taken by the largest remainder, equal remainders by a hash of the stratum. Strata of equal size are handled together:
-    the driver sees one row per distinct size.
+    are taken by the largest remainder, equal remainders by a hash of the stratum. Strata with 1 in a column ``least`` (0 or 1) get a slot
+    before the rest is shared out; if ``size`` is below their number, the larger of them get one each. Strata of equal size are handled together:
+    the driver sees one row per distinct size and ``least``.
     """
     if rule not in ("sqrt", "equal"):
         raise ValueError("rule is 'sqrt' or 'equal'")
-    sizes = strata.groupBy("n").agg(F.count(F.lit(1)).alias("m")).orderBy("n").collect()
+    if "least" not in strata.columns:
+        strata = strata.withColumn("least", F.lit(0))
+    sizes = strata.groupBy("n", "least").agg(F.count(F.lit(1)).alias("m")).orderBy("n", "least").collect()
     if not sizes:
         return strata.select("stratum", F.lit(0).cast("bigint").alias("quota"))
-    n, m = np.array([r["n"] for r in sizes], float), np.array([r["m"] for r in sizes], float)
+    n, m, least = (np.array([r[c] for r in sizes], float) for c in ("n", "m", "least"))
     weight = np.sqrt(n) if rule == "sqrt" else np.ones(len(n))
     size = int(min(size, (n * m).sum()))
-    a, b = 0.0, float((n / weight).max())
-    for _ in range(200):
-        mid = (a + b) / 2
-        a, b = (mid, b) if (np.minimum(n, mid * weight) * m).sum() < size else (a, mid)
-    exact = np.minimum(n, b * weight)
+    if (least * m).sum() > size:
+        exact = least * weight / (weight.max() + 1)
+    else:
+        a, b = 0.0, float((n / weight).max())
+        for _ in range(200):
+            mid = (a + b) / 2
+            a, b = (mid, b) if (np.clip(mid * weight, least, n) * m).sum() < size else (a, mid)
+        exact = np.clip(b * weight, least, n)
     whole = np.floor(exact + 1e-9)
     open_slots = int(round(size - (whole * m).sum()))
     more = np.zeros(len(n), dtype=int)
@@ -127,8 +134,8 @@ def cluster_quotas(strata: DataFrame, size: int, rule: str = "sqrt") -> DataFram
         if whole[i] < n[i]:
             more[i] = min(open_slots, int(m[i]))
             open_slots -= more[i]
-    by_size = strata.sparkSession.createDataFrame([(int(n[i]), int(whole[i]), bool(more[i] == m[i]), int(more[i])) for i in range(len(n))], "n bigint, base bigint, every boolean, some bigint")
-    out = cut_lineage(strata.select("stratum", "n").join(by_size, "n"))
+    by_size = strata.sparkSession.createDataFrame([(int(n[i]), int(least[i]), int(whole[i]), bool(more[i] == m[i]), int(more[i])) for i in range(len(n))], "n bigint, least int, base bigint, every boolean, some bigint")
+    out = cut_lineage(strata.select("stratum", "n", "least").join(by_size, ["n", "least"]))
     quota = by_size.filter("not every and some > 0").select("n", F.col("some").alias("quota"))  # one size at most
     rows = out.filter("not every and some > 0").select("stratum", "n", (-F.pmod(F.xxhash64("stratum"), F.lit(1 << 52)) / float(1 << 52)).alias("u"))
     lucky = top_by_cutoff(cut_lineage(rows), "n", "u", "stratum", quota, -1.0, 0.0).filter("kept").select("stratum", F.lit(1).alias("one"))
@@ -147,7 +154,8 @@ def varied_subset(rows: DataFrame, key: str, group: list[str], features: list[st
 
     Records are clustered by ``features``; each (group, cluster) is a stratum with a square-root or equal quota, and its records
     of smallest random key are taken. With a ``radius``, records that have no other of their group within it are taken first
-    (``mandatory``), and ``size`` grows to their number if it is smaller. Records without key, features or with NaN are left out; a null group value is a
+    (``mandatory``), and ``size`` grows to their number if it is smaller. Every group without a mandatory record gets a slot, in its largest
+    stratum, before the rest is shared out; a warning tells how many groups stay without a record where ``size`` is too small for that. Records without key, features or with NaN are left out; a null group value is a
     group of its own; of a repeated key one record counts. An empty table gives an empty result; a table not larger than ``size`` comes out whole.
     """
     ready = rows.select(F.col(key), *[F.coalesce(F.col(g), F.lit("")).alias(g) for g in group], *[F.col(f).cast("double").alias(f) for f in features]).filter(F.col(key).isNotNull())
@@ -164,10 +172,16 @@ def varied_subset(rows: DataFrame, key: str, group: list[str], features: list[st
     must = placed.filter("mandatory").select(*out, "mandatory")
     rest = placed.filter("not mandatory")
     rest = rest.withColumn("stratum", F.xxhash64(*group, "cluster")).withColumn("u", -F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(1 << 52)) / float(1 << 52))
-    strata = rest.groupBy("stratum").agg(F.count(F.lit(1)).alias("n"))
+    kind = F.array(F.lit(""), *[F.col(g).cast("string") for g in group]).alias("kind")  # also without group columns
+    strata = cut_lineage(rest.groupBy(kind, "stratum").agg(F.count(F.lit(1)).alias("n")))
+    largest = strata.groupBy("kind").agg(F.max(F.struct("n", "stratum")).getField("stratum").alias("stratum"))
+    floors = cut_lineage(largest.join(must.select(kind).distinct(), "kind", "left_anti").select("stratum", F.lit(1).alias("least")))
     if isinstance(size, float):
         size = round(size * placed.count())
-    quota = cluster_quotas(cut_lineage(strata), max(0, size - (must.count() if radius is not None else 0)), rule)
+    left = max(0, size - (must.count() if radius is not None else 0))
+    if (kinds := floors.count()) > left:
+        warnings.warn(f"varied_subset: size {size} is too small for every group, {kinds - left} of them come out without a record", stacklevel=2)
+    quota = cluster_quotas(cut_lineage(strata.join(floors, "stratum", "left").select("stratum", "n", F.coalesce("least", F.lit(0)).alias("least"))), left, rule)
     chosen = top_by_cutoff(rest, "stratum", "u", key, quota, -1.0, 0.0, hot_rows=hot_rows).filter("kept")
     return must.unionByName(chosen.select(*out, "mandatory"))
 

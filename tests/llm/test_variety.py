@@ -35,6 +35,21 @@ def test_size_and_membership(spark, size, rule):
     assert len(got) == len(set(got)) == min(200, round(size * 200) if isinstance(size, float) else size)
 
 
+@pytest.mark.parametrize("radius", [None, 12.0])
+def test_every_group_keeps_a_record(spark, radius):
+    rows = points(300) + [(1000 + i, f"g{i // 2}", 40.0 + i % 2, 0.0) for i in range(120)]
+    groups = {g for _, g, _, _ in rows}
+    got = variety.varied_subset(frame(spark, rows), "id", ["g"], ["y", "p"], 150, radius=radius).collect()
+    assert {r["g"] for r in got} == groups and len(got) == 150
+
+
+def test_a_size_below_the_number_of_groups_is_reported(spark):
+    rows = [(i, f"g{i // 2}", 40.0 + i % 2, 0.0) for i in range(120)]
+    with pytest.warns(UserWarning, match="50 of them come out without a record"):
+        got = variety.varied_subset(frame(spark, rows), "id", ["g"], ["y", "p"], 10, clusters=1).collect()
+    assert len(got) == len({r["g"] for r in got}) == 10
+
+
 def test_nulls_repeats_and_empty(spark):
     rows = points(30) + [(900, "a", None, 1.0), (901, "a", float("nan"), 1.0), (None, "a", 1.0, 1.0), (902, None, 1.0, 1.0)] + points(30)[:5]
     got = {r["id"] for r in variety.varied_subset(frame(spark, rows), "id", ["g"], ["y", "p"], 10_000, radius=5.0).collect()}
