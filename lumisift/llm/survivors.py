@@ -19,6 +19,21 @@ BUNDLES = {
     "eyes": ("eye_presence_valid", "left_eye_presence_ratio", "right_eye_presence_ratio", "eye_sharpness", "mouth_sharpness"),
     "hash": ("global_hash", "face_hash"),
 }
+#: Further bundles, under no constraint with others: each is taken from the most trusted row of the group, outside the search.
+FREE = {
+    "exposure": ("shadow_pixel_ratio", "highlight_pixel_ratio"),
+    "file_rank": ("laplacian_percentile", "tenengrad_percentile", "quality_rank"),
+    "face": ("face_detected", "face_count", "multiple_faces", "facemesh_detected"),
+    "face_light": ("face_brightness_mean", "face_to_global_brightness_ratio", "face_central_gradient"),
+    "skin": ("skin_texture_score", "plasticity_ratio", "beauty_filter_detected"),
+    "face_sharpness": ("face_laplacian_score", "face_tenengrad_score", "face_laplacian_percentile", "face_tenengrad_percentile", "face_sharpness_score"),
+    "visibility": ("face_visibility_score", "occlusion_detected", "occlusion_level", "face_visibility_signals", "eye_ratio_left", "eye_ratio_right", "eye_brightness_ratio", "eye_texture_ratio"),
+    "gate": ("face_eligible", "face_gate_category", "face_gate_reason", "face_gate_status", "face_gate_error"),
+}
+#: Taken from the row of the pose; from the frame's own latest row where neither has a pose.
+POSE_STATE = ("pose_status", "pose_error")
+#: What names the frame or its file, from the frame's own latest row of the group.
+OWN = ("seq", "reported_at", "step_name", "filename", "file_size_bytes", "temporal_index", "status", "error", "duplicate_error")
 # The shot types and pose buckets that step 3 and step 4 can produce, in canonical spelling.
 SHOTS = ("closeup", "upperbody", "fullbody")
 POSES = ("front", "left3q", "right3q", "leftprofile", "rightprofile", "lookingup", "lookingdown", "extremepose")
@@ -80,11 +95,12 @@ def _known(text: Column, values: tuple[str, ...]) -> Column:
 
 def _filled(columns: tuple[str, ...], types: dict[str, str]) -> Column:
     """Share of the columns that have a value, NaN and blanks being none."""
+    columns = tuple(c for c in columns if not c.endswith("_error"))  # an error is no value
     has = [F.col(c).isNotNull() & (~F.isnan(c) if types[c] in ("double", "float") else (canonical(F.col(c)) != "") if types[c] == "string" else F.lit(True)) for c in columns]
     return sum((F.coalesce(h, F.lit(False)).cast("double") for h in has), F.lit(0.0)) / len(columns)
 
 
-def _trust(types: dict[str, str]) -> dict[str, Column]:
+def _trust(types: dict[str, str], bundles: dict[str, tuple[str, ...]] = BUNDLES) -> dict[str, Column]:
     """Trust of each bundle of a row: how complete it is, whether its own dependencies hold, how good the row's score is."""
     shot, pose = _known(F.col("shot_type"), SHOTS), _known(F.col("pose_bucket"), POSES)
     key = canonical(F.col("pose_cluster_key"))
@@ -97,9 +113,24 @@ def _trust(types: dict[str, str]) -> dict[str, Column]:
         "pose": (pose != "") & key.endswith(pose) & (F.abs(number("pose_yaw")) <= 180) & (F.abs(number("pose_pitch")) <= 180),
         "eyes": (number("eye_sharpness") >= 0) & (number("mouth_sharpness") >= 0),
         "hash": F.lit(True),
+        "exposure": number("shadow_pixel_ratio").between(0, 1) & number("highlight_pixel_ratio").between(0, 1),
+        "file_rank": F.col("quality_rank") >= 1,
+        "face": F.col("face_count") >= 0,
+        "face_light": (number("face_brightness_mean") > 1) & (number("face_brightness_mean") <= 255),  # not on the scale of shares
+        "skin": number("skin_texture_score") >= 0,
+        "face_sharpness": (number("face_laplacian_score") >= 0) & (number("face_tenengrad_score") >= 0),
+        "visibility": number("face_visibility_score") >= 0,
+        "gate": (canonical(F.col("face_gate_category")) != "") & (canonical(F.col("face_gate_status")) != ""),
     }
     quality = F.coalesce((F.col("score") + 30) / 2300, F.lit(0.0))
-    return {b: F.when(_filled(c, types) > 0, _filled(c, types) * 4 + F.coalesce(sound[b], F.lit(False)).cast("double") * 2 + quality) for b, c in BUNDLES.items()}
+    return {b: F.when(_filled(c, types) > 0, _filled(c, types) * 4 + F.coalesce(sound[b], F.lit(False)).cast("double") * 2 + quality) for b, c in bundles.items()}
+
+
+def _members(step5: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """The rows that belong to a group, with its label as ``grp`` and the possible ``score``."""
+    needed = ["seq", "reported_at", "run_id", "frame_id", "duplicate_group", "face_quality_score", *columns]
+    rows = step5.select(*dict.fromkeys(needed)).withColumn("grp", F.lower(F.trim("duplicate_group"))).withColumn("score", quality_score())
+    return rows.filter((F.col("grp") != "") & F.col("run_id").isNotNull() & F.col("frame_id").isNotNull())
 
 
 def choose_survivors(step5: DataFrame) -> DataFrame:
@@ -115,9 +146,7 @@ def choose_survivors(step5: DataFrame) -> DataFrame:
     a short list.
     """
     types = dict(step5.dtypes)
-    grp = F.lower(F.trim("duplicate_group"))
-    needed = ["seq", "reported_at", "run_id", "frame_id", "duplicate_group", "face_quality_score", *dict.fromkeys(c for b in BUNDLES.values() for c in b)]
-    rows = step5.select(*needed).withColumn("grp", grp).withColumn("score", quality_score()).filter((F.col("grp") != "") & F.col("run_id").isNotNull() & F.col("frame_id").isNotNull())
+    rows = _members(step5, tuple(c for b in BUNDLES.values() for c in b))
     frames = rows.groupBy("run_id", "grp", "frame_id").agg(F.max_by(F.col("score"), F.when(F.col("score").isNotNull(), F.struct("reported_at", "seq"))).alias("score"))
     best = frames.groupBy("run_id", "grp").agg(F.count(F.lit(1)).alias("frames"), F.max(F.when(F.col("score").isNotNull(), F.struct("score", (-F.col("frame_id")).alias("f")))).alias("b"))
     best = best.filter("frames >= 2 and b is not null").select("run_id", "grp", (-F.col("b.f")).alias("frame_id"), F.col("b.score").alias("score"), "frames")
@@ -134,11 +163,28 @@ def choose_survivors(step5: DataFrame) -> DataFrame:
 
 
 def fill_survivors(step5: DataFrame) -> DataFrame:
-    """The survivors with the fields of their chosen bundles, fetched by ``seq`` in one pass over the reports."""
-    chosen = choose_survivors(step5)
-    picks = chosen.select("run_id", "duplicate_group", "frame_id", "face_quality_score", "frames", F.explode(F.array(*[F.struct(F.lit(b).alias("bundle"), F.col(f"{b}_seq").alias("seq")) for b in BUNDLES])).alias("x"))
-    picks = picks.select("run_id", "duplicate_group", "frame_id", "face_quality_score", "frames", "x.bundle", "x.seq")
-    columns = [c for b in BUNDLES.values() for c in b]
-    got = picks.join(step5.select("seq", *columns).dropDuplicates(["seq"]), "seq", "left")
-    values = [F.max(F.when(F.col("bundle") == b, F.col(c))).alias(c) for b, cs in BUNDLES.items() for c in cs]
-    return got.groupBy("run_id", "duplicate_group", "frame_id", "face_quality_score", "frames").agg(*values)
+    """The survivors with all columns of the report, and ``frames``, fetched by ``seq`` in one pass over the reports.
+
+    Measured fields come whole by bundle: those under constraints by :func:`choose_survivors`, each of FREE from the group's most trusted (then latest) row.
+    ``scene_group`` is that of the frame's latest row that has one, else of the group's; the fields of OWN are those of the frame's latest row of the
+    group. What a group's choice decides is not read but set as step 5 sets it for a representative: group_size, group_best, duplicate_status and the distances, 0.
+    """
+    types = dict(step5.dtypes)
+    own_columns = [c for c in OWN if c in types]
+    trust = _trust(types, FREE)
+    rows = _members(step5, (*(c for b in FREE.values() for c in b), "scene_group", *BUNDLES["pose"]))
+    place = ["reported_at", "seq"]
+    scene = F.when(canonical(F.col("scene_group")) != "", F.struct(*place))
+    tops = rows.groupBy("run_id", "grp").agg(F.max(scene).getField("seq").alias("__any_scene"), *[F.max(F.when(trust[b].isNotNull(), F.struct(trust[b].alias("trust"), *place))).getField("seq").alias(f"{b}_seq") for b in FREE])
+    own = rows.groupBy("run_id", "grp", "frame_id").agg(F.max(F.struct(*place, (_filled(BUNDLES["pose"], types) > 0).alias("posed"))).alias("__own"), F.max(scene).getField("seq").alias("__own_scene"))
+    names = ["run_id", "duplicate_group", "frame_id", "face_quality_score", "frames"]
+    chosen = choose_survivors(step5).join(tops.withColumnRenamed("grp", "duplicate_group"), ["run_id", "duplicate_group"]).join(own.withColumnRenamed("grp", "duplicate_group"), ["run_id", "duplicate_group", "frame_id"])
+    fields = {**BUNDLES, **FREE, "pose_state": POSE_STATE, "scene": ("scene_group",), "own": tuple(own_columns)}
+    chosen = chosen.withColumn("own_seq", F.col("__own.seq")).withColumn("scene_seq", F.coalesce("__own_scene", "__any_scene")).withColumn("pose_state_seq", F.coalesce("pose_seq", F.when(~F.col("__own.posed"), F.col("__own.seq"))))
+    sources = [f"{b}_seq" for b in fields]
+    # One row per survivor and report row that it takes something from.
+    picks = chosen.select(*names, *sources, F.explode(F.array_distinct(F.array_compact(F.array(*sources)))).alias("__pick"))
+    reports = _members(step5, tuple(dict.fromkeys(c for cs in fields.values() for c in cs))).select(F.col("seq").alias("__pick"), *[F.struct(*cs).alias(f"__{b}") for b, cs in fields.items()])
+    got = picks.join(reports, "__pick").groupBy(*names).agg(*[F.max(F.when(F.col(f"{b}_seq") == F.col("__pick"), F.col(f"__{b}"))).alias(f"__{b}") for b in fields])
+    decided = {"group_size": F.col("frames"), "group_best": F.col("__own.filename"), "duplicate_status": F.lit("representative"), "phash_distance_to_group_best": F.lit(0), "angle_distance_to_group_best": F.lit(0.0)}
+    return got.select(*names, *[F.col(f"__{b}").getField(c).alias(c) for b, cs in fields.items() for c in cs], *[v.cast(types[c]).alias(c) for c, v in decided.items()])

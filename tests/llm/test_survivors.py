@@ -53,6 +53,25 @@ def test_bundles_stay_whole_and_consistent(spark):
     assert got["eye_sharpness"] == 2.0 and got["global_hash"] is None
 
 
+def test_every_column_of_the_report_is_filled(spark):
+    light = dict(face_brightness_mean=120.0, face_to_global_brightness_ratio=1.1, face_central_gradient=0.2)
+    seen = dict(face_visibility_score=0.9, occlusion_detected=False, occlusion_level="NONE", face_visibility_signals=["a"], eye_ratio_left=0.4)
+    rows = [
+        row(1, 1, "g", 10.0, skin_texture_score=5.0, plasticity_ratio=0.1, face_brightness_mean=float("nan"), scene_group="s", **seen),
+        row(2, 2, "g", 20.0, file_size_bytes=7, temporal_index=3, group_best="wrong.png", duplicate_status="duplicate", group_size=9, pose_status="failed", face_visibility_score=0.1),
+        row(3, 3, "g", 5.0, file_size_bytes=8, shadow_pixel_ratio=0.1, face_laplacian_score=2.0, face_eligible=True, face_gate_category="OK", face_gate_reason=[], **light),
+        row(4, 2, "g", 20.0, minute=9, file_size_bytes=6, temporal_index=3, pose_status="failed"),
+    ]
+    t = table(spark, rows)
+    got = survivors.fill_survivors(t).collect()[0].asDict()
+    assert set(got) == {*t.columns, "frames"} - {"grp", "score", "shot", "options"}
+    assert (got["frame_id"], got["seq"], got["filename"], got["file_size_bytes"], got["temporal_index"]) == (2, 4, "s/f2.png", 6, 3)
+    assert {k: got[k] for k in (*light, *seen)} == {**light, **seen}
+    assert (got["skin_texture_score"], got["shadow_pixel_ratio"], got["face_laplacian_score"], got["scene_group"], got["pose_status"]) == (5.0, 0.1, 2.0, "s", "failed")
+    assert (got["face_eligible"], got["face_gate_category"], got["face_gate_reason"]) == (True, "OK", [])
+    assert (got["group_size"], got["group_best"], got["duplicate_status"], got["phash_distance_to_group_best"]) == (3, "s/f2.png", "representative", 0)
+
+
 def test_search_finds_the_optimum():
     rnd = random.Random(3)
     for _ in range(300):
