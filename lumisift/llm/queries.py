@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from ..sources.tables import table
 from . import capping, components, mixing, packing, quotas, ranking, reading, reports, survivors, tokens, variety
 
@@ -98,15 +99,16 @@ def p4_sizes(spark, d):
     return p4_found(spark, d).groupBy("group_id").agg(F.count(F.lit(1)).alias("frames"))
 
 
-def p5_found(spark, d):
-    return variety.lone_poses(table(spark, d, "step4_dataset_report"))
-
-
 def p5_subset(spark, d):
     rows = variety.posed_frames(table(spark, d, "step4_dataset_report"))
     return variety.varied_subset(rows, "frame_id", ["scene", "pose_cell"], ["yaw", "pitch"], SUBSET, radius=12.0)
 
 
+def p5_found(spark, d):
+    """The mandatory rows of the varied subset, drawn whole first."""
+    return cut_lineage(p5_subset(spark, d)).filter("mandatory").select("frame_id")
+
+
 def p6_report(spark, d):
     members = quotas.cell_members(table(spark, d, "step7_dataset_report"))
     return quotas.quota_report(members, quotas.cell_targets(table(spark, d, "quota_targets"))).select("request_id", "quota_cell", "available", "needed", "quota", "unmet")
@@ -154,8 +156,6 @@ def p8_report(spark, d):
 
 
 def _sizes(spark, d):
-    from ..session import cut_lineage
-
     return cut_lineage(tokens.document_sizes(table(spark, d, "documents")))
 
 

@@ -191,9 +191,3 @@ def posed_frames(step4: DataFrame) -> DataFrame:
     ok = step4.filter(canonical(F.col("pose_status")) == "ok").select("frame_id", "reported_at", "seq", "pose_cluster_key", number("pose_yaw").alias("yaw"), number("pose_pitch").alias("pitch"))
     rows = latest(ok, ["frame_id"], ["pose_cluster_key", "yaw", "pitch"])
     return rows.join(frame_scenes(step4), "frame_id").select("frame_id", "scene", canonical(F.col("pose_cluster_key")).alias("pose_cell"), "yaw", "pitch")
-
-
-def lone_poses(step4: DataFrame, radius: float = 12.0) -> DataFrame:
-    """``frame_id`` of the frames that no other of the same scene and pose cell comes near, through the clusters."""
-    rows = posed_frames(step4).filter("yaw is not null and pitch is not null")
-    return isolated(clustered(rows, "frame_id", ["yaw", "pitch"]), "frame_id", ["scene", "pose_cell"], ["yaw", "pitch"], radius)

@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from lumisift.llm import variety
+from lumisift.llm import queries, variety
 
 
 def points(n, seed=5):
@@ -74,3 +74,11 @@ def test_clusters_follow_the_data(spark):
     for r in got:
         by.setdefault(r["y"], set()).add(r["cluster"])
     assert all(len(v) == 1 for v in by.values()) and len(set.union(*by.values())) == 3
+
+
+def test_p5_found_is_the_mandatory_part_of_the_subset(spark, small, monkeypatch):
+    drawn = []
+    real = variety.varied_subset
+    monkeypatch.setattr(variety, "varied_subset", lambda *a, **k: drawn.append(real(*a, **k)) or drawn[-1])
+    got = {r["frame_id"] for r in queries.p5_found(spark, small).collect()}
+    assert len(drawn) == 1 and got == {r["frame_id"] for r in drawn[0].collect() if r["mandatory"]}
