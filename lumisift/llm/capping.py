@@ -78,20 +78,27 @@ def cap_contributors(rows: DataFrame, contributor: str, score: str, tie: str, ma
     """Hold every contributor to ``max_count`` rows or ``max_share`` of the rows kept, the best by ``score``.
 
     ``max_count`` is a number or a Column of the contributor. Rows whose score or ``tie`` is null or
-    NaN cannot be ranked and are left out; a null contributor counts as one contributor named by
+    NaN cannot be ranked and are left out; a null contributor counts as one contributor, for strings named by
     null's place ``""``. Repeated ``tie`` values are one record: its best score counts. Returns
     contributor, score, tie and ``kept``; an empty table gives an empty result. ``low`` and ``high``
     are the score's range for the histogram; they are measured if missing, and only speed depends on them.
     """
     value = F.col(score).cast("double")
-    base = rows.select(F.coalesce(F.col(contributor), F.lit("")).alias(contributor) if dict(rows.dtypes)[contributor] == "string" else F.col(contributor), value.alias(score), F.col(tie))
-    base = base.filter(F.col(score).isNotNull() & ~F.isnan(score) & F.col(tie).isNotNull()).groupBy(contributor, tie).agg(F.max(score).alias(score)).select(contributor, score, tie)
+    text = dict(rows.dtypes)[contributor] == "string"
+    # Other types than strings have no value to stand for null: a pair that is never null is grouped and joined.
+    who = contributor if text else "__who"
+    key = F.coalesce(F.col(contributor), F.lit("")) if text else F.struct(F.col(contributor).isNull().alias("is_null"), F.col(contributor).alias("value"))
+    base = rows.select(key.alias(who), value.alias(score), F.col(tie))
+    base = base.filter(F.col(score).isNotNull() & ~F.isnan(score) & F.col(tie).isNotNull()).groupBy(who, tie).agg(F.max(score).alias(score)).select(who, score, tie)
     base = cut_lineage(base)
     if low is None or high is None:
         low, high = base.agg(F.min(score), F.max(score)).first()
         low, high = (0.0, 1.0) if low is None else (low, high)
     if max_share is not None:
-        max_count = share_cap(base.groupBy(contributor).agg(F.count(F.lit(1)).alias("n")), "n", max_share)
+        max_count = share_cap(base.groupBy(who).agg(F.count(F.lit(1)).alias("n")), "n", max_share)
     limit = F.lit(max_count) if isinstance(max_count, int) else max_count
-    quota = base.groupBy(contributor).agg(F.count(F.lit(1)).alias("__all")).select(contributor, limit.cast("bigint").alias("quota"))
-    return top_by_cutoff(base, contributor, score, tie, quota, float(low), float(high), bins, hot_rows=hot_rows)
+    sizes = base.groupBy(who).agg(F.count(F.lit(1)).alias("__all"))
+    sizes = sizes if text else sizes.withColumn(contributor, F.col("__who.value"))
+    quota = sizes.select(who, limit.cast("bigint").alias("quota"))
+    flagged = top_by_cutoff(base, who, score, tie, quota, float(low), float(high), bins, hot_rows=hot_rows)
+    return flagged if text else flagged.select(F.col("__who.value").alias(contributor), score, tie, "kept")

@@ -43,6 +43,20 @@ def test_against_brute_force_with_ties_nulls_and_a_hot_contributor(spark):
         assert got == want
 
 
+def test_null_of_a_numeric_contributor_is_capped(spark):
+    rows = [(None if i % 3 == 0 else i % 5, float(i % 7), i) for i in range(200)]
+    df = spark.createDataFrame(rows, "who bigint, score double, tie bigint")
+    want = {}
+    for who, score, tie in rows:
+        want.setdefault(who, []).append((-score, tie))
+    limit = F.when(F.col("who") == 1, 6).otherwise(4)
+    best = {(who, t) for who, x in want.items() for _, t in sorted(x)[: 6 if who == 1 else 4]}
+    for hot_rows in (None, 20):
+        every, kept = result(cap_contributors(df, "who", "score", "tie", limit, bins=4, hot_rows=hot_rows))
+        assert kept == best and every == {(who, t) for who, _, t in rows}
+    assert cap_contributors(df, "who", "score", "tie", max_share=0.2).dtypes[0] == ("who", "bigint")
+
+
 def test_all_scores_equal_and_cap_zero(spark):
     rows = [("x", 7.0, i) for i in range(50)]
     assert result(cap_contributors(table(spark, rows), "who", "score", "tie", 8))[1] == {("x", i) for i in range(8)}
