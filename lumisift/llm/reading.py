@@ -24,7 +24,7 @@ LABELLED = 20_000
 #: for class vocabularies of its own; below that it uses those of all languages together.
 LANGUAGES = 8
 LANGUAGE_LABELS = 5
-#: A sentence longer than this (lost punctuation) is read in stretches of so many words.
+#: Every sentence longer than this is read in stretches of so many words, with or without its end mark; the length feature ends here.
 STRETCH = 30
 #: Characters of text that a worker turns into arrays at once.
 CHARACTERS = 2_000_000
