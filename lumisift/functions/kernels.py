@@ -74,6 +74,38 @@ def skin_texture(patches: list[np.ndarray]) -> float:
     return float(np.mean(scores)) if scores else 0.0
 
 
+def landmark_patch(gray: np.ndarray, corners: tuple[tuple, tuple], scale: tuple[float, float], least: tuple[float, float]) -> np.ndarray:
+    """The patch around the middle of two points (shares of the picture), its sides in shares of their distance."""
+    h, w = gray.shape
+    (ax, ay), (bx, by) = corners
+    cx, cy, span = (ax + bx) * w / 2, (ay + by) * h / 2, math.hypot((ax - bx) * w, (ay - by) * h)
+    pw, ph = max(span * scale[0], least[0]), max(span * scale[1], least[1])
+    return gray[max(0, int(cy - ph / 2)) : max(0, min(h, int(cy + ph / 2))), max(0, int(cx - pw / 2)) : max(0, min(w, int(cx + pw / 2)))]
+
+
+def anatomical_sharpness(gray: np.ndarray, landmarks: list[tuple[float, float]] | None, eye_valid: bool = True) -> tuple[float, float]:
+    """Sharpness of the eyes (their mean; 0 where an eye is invalid or has none) and of the mouth, from face-mesh points in shares of the picture."""
+    if landmarks is None:
+        return 0.0, 0.0
+    mouth = patch_sharpness(landmark_patch(gray, (landmarks[61], landmarks[291]), (1.4, 0.8), (10.0, 8.0)))
+    eyes = [patch_sharpness(landmark_patch(gray, (landmarks[a], landmarks[b]), (1.5, 1.2), (8.0, 8.0))) for a, b in ((33, 133), (263, 362))]
+    return (sum(eyes) / 2 if eye_valid and min(eyes) > 0 else 0.0), mouth
+
+
+def cheek_texture(gray: np.ndarray, landmarks: list[tuple[float, float]] | None, box: tuple[int, int, int, int], eye_sharpness: float) -> tuple[float, float]:
+    """Skin texture of the cheeks and the plasticity ratio: the eyes' sharpness over it; both 0 without a usable cheek. The flag is ``gate.beauty_filter``."""
+    if landmarks is None:
+        return 0.0, 0.0
+    h, w = gray.shape
+    r = max(int(min(box[2], box[3]) * 0.07), 6)
+    at = [(int(landmarks[i][0] * w), int(landmarks[i][1] * h)) for i in (50, 280)]
+    patches = [gray[max(0, y - r) : max(0, min(h, y + r)), max(0, x - r) : max(0, min(w, x + r))] for x, y in at]
+    if not any(p.size and min(p.shape) >= 3 for p in patches):
+        return 0.0, 0.0
+    texture = skin_texture(patches)
+    return texture, float(eye_sharpness / max(texture, 0.005))
+
+
 def eye_features(saturation: np.ndarray, value: np.ndarray) -> float:
     """Share of an eye patch that is white of the eye (pale and bright) or iris (dark)."""
     if not value.size:
@@ -114,6 +146,47 @@ def scaled_box(box: tuple[int, int, int, int], width: int, height: int, margin:
     return max(0, int(cx - cw / 2)), max(0, int(cy - ch / 2)), min(width, int(cx + cw / 2)), min(height, int(cy + ch / 2))
 
 
+def face_box(landmarks: list[tuple[float, float]] | None, width: int, height: int) -> tuple[int, int, int, int] | None:
+    """(x, y, width, height) around all face-mesh points (shares of the picture), inside the picture; None without a face."""
+    if not landmarks:
+        return None
+    xs, ys = [x * width for x, _ in landmarks], [y * height for _, y in landmarks]
+    left, top = max(0, int(min(xs))), max(0, int(min(ys)))
+    return left, top, min(width, int(max(xs))) - left, min(height, int(max(ys))) - top
+
+
+def _resized(picture: np.ndarray, height: int, width: int, reach: int, kernel: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+    """Separable resampling from 2 x ``reach`` points a side, the border repeated, weights summing to 1."""
+
+    def weights(n: int, m: int) -> np.ndarray:
+        at = (np.arange(m) + 0.5) * n / m - 0.5
+        taps = np.floor(at)[:, None].astype(int) + np.arange(1 - reach, reach + 1)
+        w = kernel(at[:, None] - taps)
+        out = np.zeros((m, n))
+        np.add.at(out, (np.arange(m)[:, None], np.clip(taps, 0, n - 1)), w / w.sum(1, keepdims=True))
+        return out
+
+    out = np.einsum("ij,jk...->ik...", weights(picture.shape[0], height), picture.astype(np.float64))
+    out = np.moveaxis(np.tensordot(weights(picture.shape[1], width), out, (1, 1)), 0, 1)
+    return np.clip(np.rint(out), 0, 255).astype(np.uint8) if picture.dtype == np.uint8 else out
+
+
+def lanczos(picture: np.ndarray, height: int, width: int) -> np.ndarray:
+    """Resized by the Lanczos kernel of eight points a side."""
+    return _resized(picture, height, width, 4, lambda t: np.sinc(t) * np.sinc(t / 4))
+
+
+def aligned_picture(picture: np.ndarray, multiple: int = 16) -> np.ndarray:
+    """The picture with sides at the nearest multiple, halves upward, at least one; itself where they are."""
+    h, w = (max((n + multiple // 2) // multiple * multiple, multiple) for n in picture.shape[:2])
+    return picture if (h, w) == picture.shape[:2] else lanczos(picture, h, w)
+
+
+def comparison_strip(original: np.ndarray, restored: np.ndarray, side: int = 256) -> np.ndarray:
+    """Both crops at ``side`` x ``side`` (bilinear) beside each other."""
+    return np.hstack([_resized(x, side, side, 1, lambda t: np.maximum(0.0, 1 - np.abs(t))) for x in (original, restored)])
+
+
 def perceptual_hash(gray: np.ndarray) -> int:
     """64-bit hash of a grey picture: low frequencies of its cosine transform against their median; a signed long."""
     small = block_mean(gray, 32, 32)

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.kernels import blend, comparison_strip, lanczos
 from ..functions.names import base_name, candidate_name, one_decimal
 from ..params import PackagingParams
 
@@ -99,3 +100,24 @@ def write_crops(rows: DataFrame, crop: Callable, writer: Callable) -> None:
                 writer(row, data)
 
     rows.foreachPartition(each)
+
+
+def write_restored(rows: DataFrame, pictures: Callable, writer: Callable) -> None:
+    """Write the picture of every row after step 9, and a side-by-side strip of what was restored.
+
+    ``pictures(row)`` gives (picture, its face crop, the restored crop, (x, y) of the crop); the crops are None where nothing was tried. Only rows of status
+    ``safely_restored`` get the restored crop, blended in; all others keep their picture. ``writer(name, pixels)`` encodes and stores one file.
+    """
+
+    def each(part):
+        for row in part:
+            picture, crop, restored, at = pictures(row)
+            name = row["filename"].replace("\\", "/").rsplit("/", 1)[-1]
+            if row["restoration_status"] == "safely_restored" and restored is not None:
+                h, w = crop.shape[:2]
+                writer(name, blend(picture, lanczos(restored, h, w), *at))
+                writer(f"comparison/COMP_{name}", comparison_strip(crop, restored))
+            else:
+                writer(name, picture)
+
+    rows.foreachPartition(each)

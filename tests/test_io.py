@@ -67,6 +67,32 @@ def test_sinks(spark, tmp_path):
     assert sinks.populate_selected(names, names, first=2).collect() == []
 
 
+def test_restored_pictures(spark, tmp_path):
+    rows = spark.createDataFrame([("s\\a.png", "safely_restored"), ("s/b.png", "rollback_to_original")], "filename string, restoration_status string")
+    folder = str(tmp_path)
+
+    def pictures(row):
+        import numpy as np
+
+        return np.zeros((40, 40), np.uint8), np.zeros((20, 20), np.uint8), np.full((64, 64), 200, np.uint8), (10, 10)
+
+    def writer(name, pixels):
+        import os
+
+        import numpy as np
+
+        os.makedirs(os.path.dirname(f"{folder}/{name}"), exist_ok=True)
+        np.save(f"{folder}/{name}.npy", pixels)
+
+    sinks.write_restored(rows, pictures, writer)
+    import numpy as np
+
+    got = {str(p.relative_to(tmp_path)): np.load(p) for p in tmp_path.rglob("*.npy")}
+    assert set(got) == {"a.png.npy", "b.png.npy", "comparison/COMP_a.png.npy"}
+    assert got["a.png.npy"][20, 20] == 200 and got["a.png.npy"][0, 0] == 0 and not got["b.png.npy"].any()
+    assert got["comparison/COMP_a.png.npy"].shape == (256, 512)
+
+
 def test_stream_upsert(spark, tmp_path):
     source, target, mark = (str(tmp_path / x) for x in ("in", "out", "mark"))
     schema = "filename string, seq bigint, v string"

@@ -222,3 +222,29 @@ def test_kernels(spark):
     assert got[0]["m"]["brightness_mean"] == 1.0 and got[1]["m"]["error"] and got[2]["m"]["error"]
     with pytest.raises(kernels.ModelRequired):
         kernels.face_embedding(img)
+
+
+def test_face_and_resize_kernels():
+    import numpy as np
+
+    rnd = np.random.default_rng(3)
+    gray = rnd.integers(0, 255, (120, 160)).astype(np.uint8)
+    mesh = [(0.5, 0.5)] * 468
+    for i, at in {61: (0.4, 0.8), 291: (0.6, 0.8), 33: (0.2, 0.3), 133: (0.4, 0.3), 362: (0.6, 0.3), 263: (0.8, 0.3), 50: (0.3, 0.6), 280: (0.7, 0.6)}.items():
+        mesh[i] = at
+    eyes, mouth = kernels.anatomical_sharpness(gray, mesh)
+    assert eyes > 0 and mouth > 0 and kernels.anatomical_sharpness(gray, None) == (0.0, 0.0)
+    assert kernels.anatomical_sharpness(gray, mesh, eye_valid=False) == (0.0, mouth)
+    flat = gray.copy()
+    flat[:60, :80] = 9  # one eye without any gradient
+    assert kernels.anatomical_sharpness(flat, mesh)[0] == 0.0
+    texture, plasticity = kernels.cheek_texture(gray, mesh, (0, 0, 100, 100), 2.0)
+    assert texture > 0 and plasticity == 2.0 / texture and kernels.cheek_texture(gray, None, (0, 0, 9, 9), 2.0) == (0.0, 0.0)
+    assert kernels.cheek_texture(np.full((120, 160), 50), mesh, (0, 0, 100, 100), 2.0) == (0.0, 400.0)
+    assert kernels.face_box(mesh, 160, 120) == (32, 36, 96, 60) and kernels.face_box([], 160, 120) is None
+    assert kernels.aligned_picture(gray[:, :, None].repeat(3, 2)).shape == (128, 160, 3)
+    assert kernels.aligned_picture(gray[:112]) is not None and kernels.aligned_picture(gray[:112]).shape == (112, 160)
+    assert (kernels.lanczos(np.full((50, 37), 77, np.uint8), 48, 32) == 77).all() and np.array_equal(kernels.lanczos(gray, 120, 160), gray)
+    ramp = np.tile(np.arange(100.0), (10, 1))
+    assert np.allclose(kernels.lanczos(ramp, 10, 200)[:, 20:180], ((np.arange(200) + 0.5) / 2 - 0.5)[20:180], atol=0.1)
+    assert kernels.comparison_strip(gray, gray[:30, :40]).shape == (256, 512)
