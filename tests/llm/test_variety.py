@@ -39,8 +39,8 @@ def test_size_and_membership(spark, size, rule):
 def test_every_group_keeps_a_record(spark, radius):
     rows = points(300) + [(1000 + i, f"g{i // 2}", 40.0 + i % 2, 0.0) for i in range(120)]
     groups = {g for _, g, _, _ in rows}
-    got = variety.varied_subset(frame(spark, rows), "id", ["g"], ["y", "p"], 150, radius=radius).collect()
-    assert {r["g"] for r in got} == groups and len(got) == 150
+    got = variety.varied_subset(frame(spark, rows), "id", ["g"], ["y", "p"], 90, radius=radius).collect()
+    assert {r["g"] for r in got} == groups and len(got) == 90
 
 
 def test_a_size_below_the_number_of_groups_is_reported(spark):
