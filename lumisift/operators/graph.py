@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
+from .skew import spread_join
 
 #: Edges that a task unites at once.
 PORTION = 1_000_000
@@ -89,7 +90,7 @@ def component_labels(nodes: DataFrame, edges: DataFrame, node: str = "node", src
     if not several.unionByName(chained).limit(1).count():
         members = links.select("v", "r").unionByName(links.select(F.col("r").alias("v"), "r").distinct())
         least = links.groupBy("r").agg(F.min("v").alias("m")).select("r", F.least("r", "m").alias("component"))
-        found = members.join(least, "r").select(F.col("v").alias(node), "component")
+        found = spread_join(members, least, ["r"], F.col("v"), members.count(), "inner").select(F.col("v").alias(node), "component")
     else:
         ids = links.select(F.col("v").alias("n")).unionByName(links.select(F.col("r").alias("n"))).distinct()
         found = propagate_labels(ids, links.select(F.col("v").alias("a"), F.col("r").alias("b")), rounds).select(F.col("n").alias(node), F.col("c").alias("component"))
@@ -104,11 +105,13 @@ def propagate_labels(ids: DataFrame, pairs: DataFrame, rounds: int = 50) -> Data
     """
     links = cut_lineage(pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     labels = cut_lineage(ids.select("n", F.col("n").alias("c")))
+    count, nodes = links.count(), labels.count()
     for _ in range(rounds):
-        near = links.join(labels, links.b == labels.n).groupBy("a").agg(F.min("c").alias("m"))
+        near = spread_join(links, labels.select(F.col("n").alias("b"), "c"), ["b"], F.col("a"), count, "inner").groupBy("a").agg(F.min("c").alias("m"))
         step = labels.join(near, labels.n == near.a, "left").select("n", F.col("c").alias("old"), F.least("c", F.coalesce("m", "c")).alias("c"))
-        jump = step.select(F.col("n").alias("j"), F.col("c").alias("jc"))
-        new = cut_lineage(step.join(jump, F.col("c") == F.col("j"), "left").select("n", "old", F.least("c", F.coalesce("jc", "c")).alias("c")))
+        step = cut_lineage(step)
+        jump = step.select(F.col("n").alias("c"), F.col("c").alias("jc"))
+        new = cut_lineage(spread_join(step, jump, ["c"], F.col("n"), nodes, "left").select("n", "old", F.least("c", F.coalesce("jc", "c")).alias("c")))
         changed = new.filter("c <> old").limit(1).count()
         labels = new.select("n", "c")
         if not changed:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .skew import spread_join
+
 #: Length of the pieces by which a substring join blocks.
 PIECE = 8
 
@@ -22,8 +24,8 @@ def first_wins(rows: DataFrame, key: str, seq: str) -> DataFrame:
 
 
 def lookup_join(left: DataFrame, right: DataFrame, key: str, seq: str, defaults: dict[str, object] | None = None) -> DataFrame:
-    """Left join to the last row of each key, with defaults for what is not found."""
-    out = left.join(last_wins(right, key, seq), key, "left")
+    """Left join to the last row of each key, with defaults for what is not found. A key with a large part of the left rows is dealt out over many tasks."""
+    out = spread_join(left, last_wins(right, key, seq), [key], F.struct(*left.columns), left.count(), "left")
     for c, value in (defaults or {}).items():
         out = out.withColumn(c, F.coalesce(F.col(c), F.lit(value)))
     return out

@@ -10,25 +10,38 @@ from .prefix import prefix_counts
 from .skew import hot_threshold, skew_join
 
 
-def _value_ranks(rows: DataFrame, value: str, out: str, count: str, rank: Column) -> DataFrame:
-    """Join ``rank``, a function of a value's rows ``eq`` and the prefix counts of ``count`` (``eq`` rows or ``one`` per value), back to the rows."""
-    held = cut_lineage(rows)
-    real = held.filter(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
-    values = real.groupBy(F.lit(0).alias("g"), F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("eq")).withColumn("one", F.lit(1).cast("bigint"))
-    ranked = prefix_counts(values, "g", "v", count).select(F.col("v").alias(value), F.col("eq").alias("__rows"), rank.alias(out))
-    return skew_join(held, ranked, [value], "__rows", hot_threshold(held.count()), F.col(rows.columns[0]), "left")
-
+def _value_ranks(rows: DataFrame, columns: dict[str, str], count: str, rank: Column) -> DataFrame:
+    """Join ``rank``, a function of a value's rows ``eq`` and the prefix counts of ``count`` (``eq`` rows or ``one`` per value), back to the rows.
 
-def dense_percentile(rows: DataFrame, value: str, out: str) -> DataFrame:
-    """100 * (dense rank - 1) / (distinct values - 1), at two decimals; 100 for a single value, null for null and NaN."""
+    ``columns`` maps value columns to the names of their ranks; the values of all of them are counted and ranked in one pass, each column for itself.
+    """
+    held = cut_lineage(rows)
+    names = list(columns)
+    pairs = F.array(*[F.struct(F.lit(i).alias("g"), F.col(c).cast("double").alias("v")) for i, c in enumerate(names)])
+    # -0.0 and 0.0 are one value, also where they are keys.
+    real = held.select(F.explode(pairs).alias("x")).select("x.g", (F.col("x.v") + F.lit(0.0)).alias("v")).filter("v is not null and not isnan(v)")
+    values = real.groupBy("g", "v").agg(F.count(F.lit(1)).alias("eq")).withColumn("one", F.lit(1).cast("bigint"))
+    ranked = prefix_counts(values, "g", "v", count).select("g", F.col("v").alias("__v"), F.col("eq").alias("__rows"), rank.alias("__rank"))
+    ranked = cut_lineage(ranked) if len(names) > 1 else ranked
+    total = held.count()
+    out = held
+    for i, (c, name) in enumerate(columns.items()):
+        own = ranked.filter(F.col("g") == i).select("__v", "__rows", F.col("__rank").alias(name))
+        keyed = out.withColumn("__v", F.col(c).cast("double") + F.lit(0.0))
+        out = skew_join(keyed, own, ["__v"], "__rows", hot_threshold(total), F.col(rows.columns[0]), "left", total).drop("__v")
+    return out
+
+
+def dense_percentile(rows: DataFrame, value: str, out: str, **more: str) -> DataFrame:
+    """100 * (dense rank - 1) / (distinct values - 1), at two decimals; 100 for a single value, null for null and NaN. ``more`` maps further value columns to their names."""
     pct = F.when(F.col("total") == 1, 100.0).otherwise(F.floor(F.col("below") * 100.0 / (F.col("total") - 1) * 100 + 0.5) / 100)
-    return _value_ranks(rows, value, out, "one", pct)
+    return _value_ranks(rows, {value: out, **more}, "one", pct)
 
 
-def midrank_percentile(rows: DataFrame, value: str, out: str) -> DataFrame:
-    """100 * mean zero-based rank of the tie block / (n - 1); 100 for a single row, null for null and NaN."""
+def midrank_percentile(rows: DataFrame, value: str, out: str, **more: str) -> DataFrame:
+    """100 * mean zero-based rank of the tie block / (n - 1); 100 for a single row, null for null and NaN. ``more`` as in :func:`dense_percentile`."""
     pct = F.when(F.col("total") == 1, 100.0).otherwise((F.col("below") + (F.col("eq") - 1) / 2) / (F.col("total") - 1) * 100)
-    return _value_ranks(rows, value, out, "eq", pct)
+    return _value_ranks(rows, {value: out, **more}, "eq", pct)
 
 
 def global_row_number(rows: DataFrame, order: list[Column], out: str) -> DataFrame:

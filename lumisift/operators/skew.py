@@ -9,30 +9,56 @@ from pyspark.sql import functions as F
 
 #: A key with at least so many rows, and a thousandth of all, is hot and never meets one task.
 HOT_ROWS = 1_000_000
+#: A hot key's rows are dealt out in parts of a threshold over this.
+PARTS = 16
+#: Parts over which null keys are dealt out; they have no partner.
+NULL_PARTS = 4096
 
 
-def hot_threshold(total: int, least: int = HOT_ROWS) -> int:
+def hot_threshold(total: int, least: int | None = None) -> int:
     """Rows from which a key is hot. At most 1,000 keys can reach a thousandth of ``total``."""
-    return max(least, -(-total // 1000), 1)
+    return max(HOT_ROWS if least is None else least, -(-total // 1000), 1)
 
 
-def skew_join(big: DataFrame, dim: DataFrame, keys: list[str], rows: str, threshold: int, spread: Column, how: str = "left") -> DataFrame:
-    """Join ``dim`` (one row per key, ``rows`` = rows of ``big`` with that key) to ``big``.
+def skew_join(big: DataFrame, dim: DataFrame, keys: list[str], rows: str, threshold: int, spread: Column, how: str = "left", total: int | None = None) -> DataFrame:
+    """Join ``dim`` (one row per key, ``rows`` = rows of ``big`` with that key, not negative) to ``big``.
 
-    The dim rows of hot keys are broadcast: there are at most (rows of ``big``) / ``threshold`` of
-    them, 1,000 under :func:`hot_threshold`. Rows of ``big`` with a hot or null key go through the
-    shuffled join of the rest under a salt made of ``spread`` that meets no partner, so that no task
-    receives a whole hot key. ``how`` is ``left``, ``inner`` or ``left_semi``; a null key has no partner.
+    A hot key's rows are dealt out by ``spread`` over parts of a 16th of ``threshold``, and its dim row is repeated for each part: both sides are
+    shuffled by key and part, so that no task receives a whole hot key. Under :func:`hot_threshold` there are at most 1,000 hot keys, which alone are
+    broadcast (without the dim's other columns), and at most 17,000 repeated dim rows. Null keys have no partner and are
+    dealt out too. ``how`` is ``left``, ``inner`` or ``left_semi``. Where ``total``, the rows of ``big``, is given and below the threshold, no key can be
+    hot and this is a plain join.
     """
-    values = [c for c in dim.columns if c not in (*keys, rows)]
-    hot = F.broadcast(dim.filter(F.col(rows) >= threshold).select(*keys, *[F.col(c).alias(f"__hot_{c}") for c in values], F.lit(True).alias("__hot")))
-    cold = dim.filter(F.col(rows) < threshold).select(*keys, F.lit(-1).cast("bigint").alias("__salt"), *[F.col(c).alias(f"__cold_{c}") for c in values], F.lit(True).alias("__cold"))
-    aside = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys], F.col("__hot").isNotNull())
-    salted = big.join(hot, keys, "left").withColumn("__salt", F.when(aside, F.pmod(F.xxhash64(spread), F.lit(4096))).otherwise(F.lit(-1).cast("bigint")))
-    joined = salted.join(cold, [*keys, "__salt"], "left")
-    if how != "left":
-        joined = joined.filter(F.col("__hot").isNotNull() | F.col("__cold").isNotNull())
-    kept = [F.col(c) for c in big.columns]
-    if how == "left_semi":
-        return joined.select(*kept)
-    return joined.select(*kept, *[F.coalesce(F.col(f"__hot_{c}"), F.col(f"__cold_{c}")).alias(c) for c in values])
+    if total is not None and total < threshold:
+        return _columns(big.join(dim.drop(rows), keys, how), big, dim.drop(rows), keys, how)
+    parts = F.when(F.col(rows) >= threshold, F.ceil(F.col(rows) * PARTS / threshold).cast("bigint"))
+    sized = dim.withColumn("__parts", parts).drop(rows)
+    return _salted(big, sized, F.broadcast(sized.filter("__parts is not null").select(*keys, "__parts")), keys, spread, how)
+
+
+def spread_join(big: DataFrame, dim: DataFrame, keys: list[str], spread: Column, total: int, how: str = "left", least: int | None = None) -> DataFrame:
+    """:func:`skew_join` for a ``dim`` (at most one row per key) without row counts; ``total`` is the number of rows of ``big``.
+
+    The hot keys are found by counting ``big``. Where ``total`` is below the threshold no key can be hot and this is a plain join.
+    """
+    threshold = hot_threshold(total, least)
+    if total < threshold:
+        return _columns(big.join(dim, keys, how), big, dim, keys, how)
+    counts = big.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")).filter(F.col("__rows") >= threshold)
+    hot = F.broadcast(counts.select(*keys, F.ceil(F.col("__rows") * PARTS / threshold).cast("bigint").alias("__parts")))
+    return _salted(big, dim.join(hot, keys, "left"), hot, keys, spread, how)
+
+
+def _columns(joined: DataFrame, big: DataFrame, dim: DataFrame, keys: list[str], how: str) -> DataFrame:
+    return joined.select(*big.columns, *[c for c in dim.columns if c not in (*keys, "__parts") and how != "left_semi"])
+
+
+def _salted(big: DataFrame, dim: DataFrame, hot: DataFrame, keys: list[str], spread: Column, how: str) -> DataFrame:
+    missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    mixed = F.xxhash64(F.lit(11), spread)
+    salt = F.when(missing, F.pmod(mixed, F.lit(NULL_PARTS))).when(F.col("__parts").isNotNull(), F.pmod(mixed, F.col("__parts"))).otherwise(F.lit(-1).cast("bigint"))
+    left = big.join(hot, keys, "left").withColumn("__salt", salt)
+    # Exploded, the dim's salt is no constant that could be folded out of the shuffle keys.
+    salts = F.when(F.col("__parts").isNotNull(), F.sequence(F.lit(0).cast("bigint"), F.col("__parts") - 1)).otherwise(F.array(F.lit(-1).cast("bigint")))
+    right = dim.withColumn("__salt", F.explode(salts)).drop("__parts")
+    return _columns(left.join(right, [*keys, "__salt"], how), big, dim, keys, how)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.math import dot, norm
+from .skew import spread_join
 
 
 def reference_bank(vectors: DataFrame, group: str, key: str, first: int = 20) -> DataFrame:
@@ -29,11 +30,13 @@ def anchors(bank: DataFrame, group: str, key: str, vector: str) -> DataFrame:
 def similarities(vectors: DataFrame, group: str, key: str, vector: str, first: int = 20) -> DataFrame:
     """Cosine to the group's centroid (``similarity_mean``) and the greatest to its anchors (``similarity_max``).
 
-    A group's centroid and anchors are one row, joined by group: a vector meets one row, whatever the size of the bank.
+    A group's centroid and anchors are one row, joined by group: a vector meets one row, whatever the size of the bank. The vectors of a group with a large
+    part of all rows are dealt out over many tasks.
     """
     bank = reference_bank(vectors.select(group, key, vector), group, key, first)
     refs = centroids(bank, group, vector).join(anchors(bank, group, key, vector), group)
-    joined = vectors.select(group, key, vector).join(refs, group)
+    rows = vectors.select(group, key, vector)
+    joined = spread_join(rows, refs, [group], F.col(key), rows.count(), "inner")
     unit = norm(F.col(vector))
     best = F.array_max(F.transform("anchors", lambda a: dot(F.col(vector), a) / F.greatest(unit * norm(a), F.lit(1e-12))))
     return joined.select(key, group, (dot(F.col(vector), F.col("centroid")) / F.greatest(unit, F.lit(1e-12))).alias("similarity_mean"), best.alias("similarity_max"))

@@ -98,13 +98,13 @@ def midrank_percentile(spark, d):
 
 def sharpness_score(spark, d):
     rows = step3(spark, d).filter("face_count = 1 and face_gate_status = 'ok'").select("seq", "face_laplacian_score", "face_tenengrad_score")
-    both = ranks.midrank_percentile(ranks.midrank_percentile(rows, "face_laplacian_score", "a"), "face_tenengrad_score", "b")
+    both = ranks.midrank_percentile(rows, "face_laplacian_score", "a", face_tenengrad_score="b")
     return both.select("seq", (F.col("a") * 0.5 + F.col("b") * 0.5).alias("score"))
 
 
 def quality_rank(spark, d):
     rows = step3(spark, d).filter("status = 'ok' and laplacian_score is not null and tenengrad_score is not null and not isnan(laplacian_score) and not isnan(tenengrad_score)").select("seq", "laplacian_score", "tenengrad_score")
-    both = ranks.dense_percentile(ranks.dense_percentile(rows, "laplacian_score", "a"), "tenengrad_score", "b").select("seq", (F.col("a") + F.col("b")).alias("s"))
+    both = ranks.dense_percentile(rows, "laplacian_score", "a", tenengrad_score="b").select("seq", (F.col("a") + F.col("b")).alias("s"))
     return ranks.global_row_number(both, [-F.col("s"), F.col("seq")], "quality_rank").select("seq", "quality_rank")
 
 

@@ -33,7 +33,7 @@ def metrics_step(report: DataFrame) -> DataFrame:
     """Relative ranks of the technical metrics among rows with status ok."""
     own = ["laplacian_percentile", "tenengrad_percentile", "quality_rank"]
     ok = report.filter("status = 'ok' and laplacian_score is not null and tenengrad_score is not null").select("seq", "laplacian_score", "tenengrad_score")
-    both = ranks.dense_percentile(ranks.dense_percentile(ok, "laplacian_score", own[0]), "tenengrad_score", own[1])
+    both = ranks.dense_percentile(ok, "laplacian_score", own[0], tenengrad_score=own[1])
     ranked = ranks.global_row_number(both.select("seq", own[0], own[1]).withColumn("__sum", F.col(own[0]) + F.col(own[1])), [-F.col("__sum"), F.col("seq")], own[2])
     return _stamp(_attach(report, ranked.withColumn(own[2], F.col(own[2]).cast("int")), own), 2)
 
@@ -45,7 +45,7 @@ def gate_step(report: DataFrame, p: GateParams = GateParams(), as_on_disk: bool
     rows = rows.withColumn("beauty_filter_detected", gate.beauty_filter(c("shot_type"), c("skin_texture_score"), c("plasticity_ratio"), c("facemesh_detected"), p))
     own = ["face_laplacian_percentile", "face_tenengrad_percentile"]
     one = rows.filter("face_count = 1 and face_gate_status = 'ok'").select("seq", "face_laplacian_score", "face_tenengrad_score")
-    ranked = ranks.midrank_percentile(ranks.midrank_percentile(one, "face_laplacian_score", own[0]), "face_tenengrad_score", own[1])
+    ranked = ranks.midrank_percentile(one, "face_laplacian_score", own[0], face_tenengrad_score=own[1])
     rows = _attach(rows, ranked, own)
     rows = rows.withColumn("face_sharpness_score", (c(own[0]) * p.laplacian_weight + c(own[1]) * p.tenengrad_weight) / (p.laplacian_weight + p.tenengrad_weight))
     return _stamp(gate.apply_gate(gate.rounded_inputs(rows) if as_on_disk else rows, p), 3)

@@ -3,6 +3,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -45,6 +46,44 @@ def test_skew_join(spark, how):
     assert skew.hot_threshold(10**12) == 10**9 and skew.hot_threshold(0) == skew.HOT_ROWS
 
 
+@pytest.fixture
+def plain_joins(spark):
+    """Sixteen partitions that nothing coalesces, and no joins by broadcast."""
+    keys = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("how", ["left", "inner", "left_semi"])
+@pytest.mark.parametrize("hot", [-7, None])
+def test_hot_keys_are_spread(spark, plain_joins, how, hot):
+    """Half of the rows on one key, or on null: the fullest task holds less than twice the mean."""
+    big = spark.range(100_000).select(F.col("id").alias("i"), F.when(F.col("id") % 2 == 0, F.lit(hot).cast("bigint")).otherwise(F.col("id")).alias("k"))
+    dim = big.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.max("i").alias("v"))
+    for joined in (skew.skew_join(big, dim, ["k"], "n", 10_000, F.col("i"), how), skew.spread_join(big, dim.drop("n"), ["k"], F.col("i"), 100_000, how, least=10_000)):
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        assert sum(sizes) == (100_000 if hot or how == "left" else 50_000)
+        assert max(sizes) < 2 * sum(sizes) / 16
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert all("__salt" in line for line in plan.splitlines() if "SortMergeJoin" in line)
+
+
+def test_candidates_of_a_growing_scene(spark):
+    """One scene without times whose frames all look one way: the unrelated frames met by a frame grow far slower than the scene."""
+    met = {}
+    for n in (500, 16_000):
+        rows = spark.range(n).select(F.col("id").alias("rep"), F.lit("a").alias("scene"), F.lit("S").alias("shot"), F.lit(None).cast("int").alias("t"), (F.col("id") % 7).cast("double").alias("yaw"), F.lit(0.0).alias("pitch"), F.xxhash64("id").alias("gh"), F.lit(None).cast("bigint").alias("fh"))
+        one, other = dedup.candidates(rows, DedupParams())
+        met[n] = one.alias("a").join(other.alias("b"), (F.col("a.key") == F.col("b.key")) & (F.col("a.rep") < F.col("b.rep"))).count() / n
+        h = np.array([r["gh"] for r in rows.select("gh").collect()]).view(np.uint64)
+        assert dedup.near_pairs(rows).count() == sum(int((np.bitwise_count(h[i + 1 :] ^ x) <= 10).sum()) for i, x in enumerate(h))
+    assert met[16_000] < met[500] * 4, met
+
+
 def test_best_rows(spark):
     df = spark.createDataFrame([("a", 1.0, 2), ("a", 1.0, 1), ("a", None, 0), ("b", None, 9)], "g string, s double, seq bigint")
     assert {(r["g"], r["seq"]) for r in ranks.best_per_group(df, ["g"], "s", "seq").collect()} == {("a", 1), ("b", 9)}
@@ -82,9 +121,11 @@ def near(a, b, p):
     return a[1] == b[1] and a[2] == b[2] and ((gap <= p.angle and abs(a[3] - b[3]) <= p.time_window and min(g, f) <= p.near_hash) or (gap <= p.strict_angle and min(g, f) <= p.phash))
 
 
-@pytest.mark.parametrize("small", [128, 2])
-def test_duplicates_against_brute_force(spark, monkeypatch, small):
-    monkeypatch.setattr(dedup, "SMALL", small)
+@pytest.mark.parametrize("level", [None, 1, 2, 3])
+def test_duplicates_against_brute_force(spark, monkeypatch, level):
+    """Every level of agreeing pieces finds the same pairs; None lets the cells' sizes decide."""
+    if level is not None:
+        monkeypatch.setattr(dedup, "_level", lambda n, distance: F.lit(level))
     rnd = random.Random(2)
     seeds = [rnd.getrandbits(64) - 2**63 for _ in range(6)]
 
@@ -107,7 +148,7 @@ def test_duplicates_against_brute_force(spark, monkeypatch, small):
             if a[0] < b[0] and near(a, b, p):
                 assert got[a[0]][0] == got[b[0]][0]
     with pytest.raises(ValueError):
-        dedup.near_pairs(df, DedupParams(phash=11))
+        dedup.near_pairs(df, DedupParams(phash=32))
 
 
 def greedy(rows, p):
