@@ -120,7 +120,8 @@ def candidates(classes: DataFrame, p: DedupParams) -> tuple[DataFrame, DataFrame
 
     def cells(kind: str, reach: float, steps: int | None) -> Column:
         """Cells within ``reach`` degrees and ``steps`` of time; with 0 the own cell."""
-        wide, span = {"pose": p.strict_angle, "time": p.angle}[kind], p.time_window + 1
+        wide, span = {"pose": p.strict_angle, "time": p.angle}[kind], 2 * p.time_window + 1
+        # As wide as what is within reach of one point, so that the ends of the reach lie in all cells that it touches.
         side = 2 * max(wide, 1e-3)
         spots = lambda c: [F.floor((F.col(c) + x) / side) for x in ((-reach, reach) if reach else (0.0,))]
         slots = [F.lit(0)] if kind == "pose" else [F.floor((F.col("t") + x) / span) for x in ((-steps, steps) if steps else (0,))]

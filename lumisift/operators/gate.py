@@ -16,7 +16,7 @@ CATEGORY_REASONS = (
     ("REJECT_MULTIPLE_FACE", ("multiple_faces",)),
     ("REJECT_LOW_RES", ("low_resolution_source",)),
     ("REJECT_BEAUTY_FILTER", ("beauty_filter_detected", "plastic_skin")),
-    ("REJECT_OCCLUSION", ("low_visibility", "hair_covered_face", "one_eye_occluded", "eye_occluded", "face_underexposed", "face_backlit_underexposed")),
+    ("REJECT_OCCLUSION", ("low_visibility", "hair_covered_face", "eye_occluded", "one_eye_occluded", "face_underexposed", "face_backlit_underexposed")),
     ("REJECT_BLUR", ("face_blurry", "global_blurry")),
     ("REJECT_SMALL_FACE", ("face_too_small",)),
 )

@@ -10,6 +10,13 @@ from ..functions.math import clamp
 from ..params import SelectionParams
 from ..session import cut_lineage
 from .ranks import global_row_number
+from .skew import spread_join
+
+
+#: Shot types and pose buckets that the counters of the selection may hold.
+VALUES = 10_000
+#: Parts in which the rows of a shot type and pose are cut to what a selection can reach before they meet.
+SALTS = 256
 
 
 def _num(name: str) -> Column:
@@ -22,6 +29,7 @@ def quality_score() -> Column:
     brightness = _num("face_brightness_mean")
     exposure = F.when(brightness.between(110, 160), 20.0).when((brightness < 95) | (brightness > 210), -30.0).otherwise(0.0)
     capped = lambda c, most, weight: F.when(_num(c).isNotNull(), F.least(_num(c), F.lit(most)) * weight).otherwise(0.0)  # noqa: E731 - least() alone would skip a null
+    # The weights and bounds of this score and of the candidate's score below.
     eyes = F.when(F.col("eye_presence_valid"), 1000.0).otherwise(0.0)
     return eyes + capped("eye_sharpness", 10.0, 100.0) + capped("face_laplacian_score", 300.0, 0.5) + capped("mouth_sharpness", 5.0, 20.0) + exposure
 
@@ -97,6 +105,14 @@ def _fold(p: SelectionParams, taken: int, shots: dict, poses: dict):
     return run
 
 
+def _counters(rows: DataFrame, value: str) -> dict[str, int]:
+    """Rows per value; there are few values by nature, and more than VALUES of them are an error rather than left out."""
+    found = rows.groupBy(value).count().limit(VALUES + 1).collect()
+    if len(found) > VALUES:
+        raise ValueError(f"more than {VALUES} different values of {value}")
+    return {r[0]: r[1] for r in found}
+
+
 def select_by_quota(pool: DataFrame, p: SelectionParams = SelectionParams()) -> DataFrame:
     """Three-phase greedy selection over a pool (seq, scene, shot, pose, score): adds candidate_selected, quota_status, candidate_rank.
 
@@ -106,22 +122,28 @@ def select_by_quota(pool: DataFrame, p: SelectionParams = SelectionParams()) ->
 
     Phase one needs no order and stays distributed. The fold of the other phases is exact on a pool pruned to a constant size: counters only
     grow, so a (scene, shot, pose) cell gives a prefix of its rows, at most target + 1, and within a (shot, pose) at most (target + 1)^2
-    rows can be passed over because their scene has become full; scenes that phase one has filled give none.
+    rows can be passed over because their scene has become full; scenes that phase one has filled give none. Both cuts are made in parts first, so that
+    no task gets all rows of a scene or of a shot type and pose.
     """
     rows = cut_lineage(
         pool.select("seq", F.coalesce("scene", F.lit("")).alias("scene"), F.coalesce("shot", F.lit("UPPER_BODY")).alias("shot"), F.coalesce("pose", F.lit("FRONT")).alias("pose"), (F.floor(F.col("score") * 100 + 0.5) / 100).alias("score2")).filter("score2 is not null and seq is not null")
     )
     profile = F.col("pose").contains("PROFILE")
     first = rows.filter(profile)
-    shots = {r[0]: r[1] for r in first.groupBy("shot").count().orderBy("shot").limit(1000).collect()}
-    poses = {r[0]: r[1] for r in first.groupBy("pose").count().orderBy("pose").limit(1000).collect()}
+    shots, poses = _counters(first, "shot"), _counters(first, "pose")
     taken = first.count()
     used = first.groupBy("scene").agg(F.count(F.lit(1)).alias("used"))
-    rest = rows.filter(~profile).join(used, "scene", "left").withColumn("used", F.coalesce("used", F.lit(0))).withColumn("cap", scene_cap(F.col("scene"), p)).filter("used < cap")
+    others = rows.filter(~profile)
+    rest = spread_join(others, used, ["scene"], F.col("seq"), others.count(), "left").withColumn("used", F.coalesce("used", F.lit(0))).withColumn("cap", scene_cap(F.col("scene"), p)).filter("used < cap")
     most = p.target + 1
     order = [F.desc("score2"), F.asc("seq")]
-    rest = rest.withColumn("rn", F.row_number().over(Window.partitionBy("scene", "shot", "pose").orderBy(*order))).filter(F.col("rn") <= most)
-    rest = rest.withColumn("rn", F.row_number().over(Window.partitionBy("shot", "pose").orderBy(*order))).filter(F.col("rn") <= most * most + most).drop("rn")
+    for part in (F.pmod(F.xxhash64("seq"), F.lit(SALTS)), F.lit(0)):
+        rest = rest.withColumn("part", part)
+        rest = rest.withColumn("rn", F.row_number().over(Window.partitionBy("scene", "shot", "pose", "part").orderBy(*order))).filter(F.col("rn") <= most)
+    rest = rest.withColumn("part", F.pmod(F.xxhash64("scene"), F.lit(SALTS)))
+    for by in (("shot", "pose", "part"), ("shot", "pose")):
+        rest = rest.withColumn("rn", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).filter(F.col("rn") <= most * most + most)
+    rest = rest.drop("rn", "part")
     picks = rest.groupBy(F.lit(0).alias("g")).applyInPandas(_fold(p, taken, shots, poses), "seq bigint, phase int")
     marked = rows.join(F.broadcast(picks), "seq", "left").withColumn("phase", F.when(profile, 1).otherwise(F.col("phase")))
     status = F.when(F.col("phase") == 1, "selected_profile_priority").when(F.col("phase") == 2, "selected_quota_minimum").when(F.col("phase") == 3, "selected_score_fill").otherwise("rejected_quota_exceeded")

@@ -121,8 +121,8 @@ def near(a, b, p):
     return a[1] == b[1] and a[2] == b[2] and ((gap <= p.angle and abs(a[3] - b[3]) <= p.time_window and min(g, f) <= p.near_hash) or (gap <= p.strict_angle and min(g, f) <= p.phash))
 
 
-@pytest.mark.parametrize("level", [None, 1, 2, 3])
-def test_duplicates_against_brute_force(spark, monkeypatch, level):
+@pytest.mark.parametrize("level, p", [(None, DedupParams()), (1, DedupParams()), (2, DedupParams()), (3, DedupParams()), (None, DedupParams(time_window=2, phash=2, strict_angle=1.0)), (1, DedupParams(time_window=3, phash=1, strict_angle=0.0))])
+def test_duplicates_against_brute_force(spark, monkeypatch, level, p):
     """Every level of agreeing pieces finds the same pairs; None lets the cells' sizes decide."""
     if level is not None:
         monkeypatch.setattr(dedup, "_level", lambda n, distance: F.lit(level))
@@ -137,7 +137,6 @@ def test_duplicates_against_brute_force(spark, monkeypatch, level):
     rows = [(i, rnd.choice("ab"), rnd.choice(["S", None]), rnd.randrange(40), rnd.uniform(-30, 30), rnd.uniform(-10, 10), noisy(rnd.choice(seeds)), rnd.choice([None, noisy(seeds[0])])) for i in range(90)]
     rows += [(100 + i, *rows[i][1:]) for i in range(5)] + [(200, "a", "S", 1, None, 2.0, seeds[0], None), (201, "a", "S", 1, None, 2.0, seeds[0], None), (202, "a", "S", 1, 1.0, 1.0, None, None)]
     df = spark.createDataFrame(rows, "seq bigint, scene string, shot string, t int, yaw double, pitch double, gh bigint, fh bigint")
-    p = DedupParams()
     got = {r["seq"]: (r["component"], r["links"]) for r in dedup.duplicate_links(df, p).collect()}
     real = [r for r in rows if r[6] is not None or r[7] is not None]
     assert set(got) == {r[0] for r in real}
