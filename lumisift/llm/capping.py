@@ -5,28 +5,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.prefix import prefix_counts
 from ..operators.skew import hot_threshold, skew_join
 from ..session import cut_lineage
 
 #: Bins of a contributor's quality histogram.
 BINS = 2048
-#: A contributor's borderline bin is ranked in so many parts before the few survivors meet.
-SALTS = 32
 
 
-def top_by_cutoff(rows: DataFrame, group: str, score: str, tie: str, quota: DataFrame | None, low: float, high: float, bins: int = BINS, salts: int = SALTS, hot_rows: int | None = None) -> DataFrame:
+def top_by_cutoff(rows: DataFrame, group: str, score: str, tie: str, quota: DataFrame | None, low: float, high: float, bins: int = BINS, hot_rows: int | None = None) -> DataFrame:
     """Flag the ``quota`` best rows of each group: columns of ``rows`` plus ``kept``.
 
     ``rows`` is materialised once by the caller (see :func:`cut_lineage`) and has a unique ``tie``
-    and a non-null ``score``; it may carry its quota in a column ``quota``, else ``quota`` is a
-    table (group, quota). Method: count rows per (group, score bin), which merges on the map side;
+    and a non-null ``score``; ``quota`` is a table (group, quota). Method: count rows per (group, score bin), which merges on the map side;
     the cutoff bin of a group is the first from the top at which the running count meets the quota;
-    only rows of that bin are ranked, in ``salts`` parts first, to find the last row kept; all others are
-    decided by comparing with it. Equal scores: smaller ``tie`` is better. A group without a quota
-    keeps all its rows, a quota of 0 none.
+    only rows of that bin are ranked, to find the last row kept; all others are
+    decided by comparing with it. A bin that the quota takes whole needs no ranking. The borderline rows are range-partitioned by group, score and tie and
+    ranked by prefix counts, so that also a bin with a third of all rows, such as one of equal scores, is ranked by many tasks. Equal scores: smaller ``tie`` is better. A
+    group without a quota keeps all its rows, a quota of 0 none.
     """
     total = rows.count()
-    threshold = hot_threshold(total, hot_rows) if hot_rows else hot_threshold(total)
+    threshold = hot_threshold(total, hot_rows)
     width = (high - low) or 1.0
     bin_of = F.least(F.greatest(F.floor((F.col(score) - low) * (bins / width)), F.lit(0)), F.lit(bins - 1)).cast("int")
     binned = rows.withColumn("__bin", bin_of)
@@ -38,19 +37,20 @@ def top_by_cutoff(rows: DataFrame, group: str, score: str, tie: str, quota: Data
         .withColumn("__rows", F.sum("__n").over(Window.partitionBy(group)))
         .withColumn("__ahead", F.col("__cum") - F.col("__n"))
         .filter((F.col("__rows") > F.col("quota")) & (F.col("__cum") >= F.col("quota")) & (F.col("__ahead") < F.greatest(F.col("quota"), F.lit(1))))
-        .select(group, "__rows", F.col("__bin").alias("__cut"), (F.greatest(F.col("quota"), F.lit(0)) - F.col("__ahead")).alias("__rest"))
+        .select(group, "__rows", F.col("__bin").alias("__cut"), (F.greatest(F.col("quota"), F.lit(0)) - F.col("__ahead")).alias("__rest"), "__n")
     )
     cuts = cut_lineage(cuts)
-    border = skew_join(binned.select(group, score, tie, "__bin"), cuts, [group], "__rows", threshold, F.col(tie), "inner").filter(F.col("__bin") == F.col("__cut"))
-    order = (F.desc(score), F.asc(tie))
-    border = border.withColumn("__part", F.pmod(F.xxhash64(tie), F.lit(salts)))
-    border = border.withColumn("__rn", F.row_number().over(Window.partitionBy(group, "__part").orderBy(*order))).filter(F.col("__rn") <= F.col("__rest"))
-    border = border.withColumn("__rn", F.row_number().over(Window.partitionBy(group).orderBy(*order))).filter(F.col("__rn") == F.col("__rest"))
-    last = border.select(F.col(group), F.col(score).alias("__last_score"), F.col(tie).alias("__last_tie"))
-    bounds = cuts.select(group, "__rows").join(last, group, "left").select(group, "__rows", "__last_score", "__last_tie", F.lit(True).alias("__cut_here"))
-    placed = skew_join(rows, bounds, [group], "__rows", threshold, F.col(tie), "left")
+    # __rest rows of the bin stay: all, none or some, and only some need the last of them.
+    some = cuts.filter("__rest > 0 and __rest < __n").drop("__n")
+    border = skew_join(binned.select(group, score, tie, "__bin"), some, [group], "__rows", threshold, F.col(tie), "inner", total).filter(F.col("__bin") == F.col("__cut"))
+    place = border.select(group, "__rest", F.struct((-F.col(score)).alias("s"), F.col(tie).alias("t")).alias("__place"), F.lit(1).alias("__one"))
+    last = prefix_counts(place, group, "__place", "__one").filter(F.col("below") == F.col("__rest") - 1)
+    last = last.select(group, (-F.col("__place.s")).alias("__last_score"), F.col("__place.t").alias("__last_tie"))
+    bounds = cuts.join(last, group, "left").select(group, "__rows", "__cut", F.when(F.col("__rest") <= 0, F.lit(1)).otherwise(0).alias("__above"), "__last_score", "__last_tie")
+    placed = skew_join(binned, bounds, [group], "__rows", threshold, F.col(tie), "left", total)
     better = (F.col(score) > F.col("__last_score")) | ((F.col(score) == F.col("__last_score")) & (F.col(tie) <= F.col("__last_tie")))
-    return placed.select(*rows.columns, (F.col("__cut_here").isNull() | F.coalesce(better, F.lit(False))).alias("kept"))
+    kept = F.when(F.col("__cut").isNull(), True).when(F.col("__bin") != F.col("__cut"), F.col("__bin") > F.col("__cut")).when(F.col("__last_score").isNotNull(), better).otherwise(F.col("__above") == 0)
+    return placed.select(*rows.columns, kept.alias("kept"))
 
 
 def share_cap(sizes: DataFrame, size: str, share: float) -> int:

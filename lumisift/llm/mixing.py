@@ -13,6 +13,9 @@ from ..functions.spelling import canonical
 from ..operators.skew import hot_threshold, skew_join
 from ..session import cut_lineage
 
+#: Power of two of the hash blocks at most: those of a mix and source are put in order by one task, and 65,536 of a few bytes each are no burden.
+MOST_BLOCKS = 16
+
 
 def exponentiate(shares: np.ndarray, exponent: float) -> np.ndarray:
     """Shares to the power ``exponent``, summing to 1; empty sources stay empty at any exponent."""
@@ -117,7 +120,7 @@ def realise(sizes: DataFrame, plan: DataFrame, seed: int = 7) -> DataFrame:
     texts are taken one by one, in random order, up to the one nearest to the budget. Texts without tokens come with the passes. No text is taken more than max_repeats times.
     """
     total = sizes.count()
-    blocks = 1 << max(6, math.ceil(math.log2(max(1, total / 10_000))))
+    blocks = 1 << min(MOST_BLOCKS, max(6, math.ceil(math.log2(max(1, total / 10_000)))))
     keyed = sizes.filter(F.col("doc_id").isNotNull()).withColumn("source_key", canonical(F.col("source"))).withColumn("block", F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(blocks)))
     open_ = cut_lineage(plan.filter("budget > 0 and available_tokens > 0").select("mix_id", F.col("source").alias("named"), "source_key", "available_tokens", "available_docs", "budget", "max_repeats"))
     passes = F.least(F.floor(F.col("budget") / F.col("available_tokens") + 1e-9), F.col("max_repeats")).cast("bigint")
@@ -127,7 +130,7 @@ def realise(sizes: DataFrame, plan: DataFrame, seed: int = 7) -> DataFrame:
     by_block = by_block.withColumn("ahead", F.sum("tokens").over(order) - F.col("tokens"))
     by_block = by_block.filter(F.col("ahead") < F.col("part")).select("source_key", "block", "mix_id", (F.col("part") - F.col("ahead")).alias("room"), (F.col("ahead") + F.col("tokens") <= F.col("part")).alias("whole"))
     mixes = open_.groupBy("source_key").agg(F.max("available_docs").alias("rows"), F.collect_list(F.struct("mix_id", "named", "passes")).alias("mixes"))
-    docs = skew_join(keyed, mixes, ["source_key"], "rows", hot_threshold(total), F.col("doc_id"), "inner").withColumn("m", F.explode("mixes"))
+    docs = skew_join(keyed, mixes, ["source_key"], "rows", hot_threshold(total), F.col("doc_id"), "inner", total).withColumn("m", F.explode("mixes"))
     docs = docs.select("source_key", "block", "doc_id", "n_tokens", F.col("m.mix_id").alias("mix_id"), F.col("m.named").alias("source"), F.col("m.passes").alias("passes"))
     on = ["mix_id", "source_key", "block"]
     by_block = cut_lineage(by_block)
@@ -142,9 +145,13 @@ def realise(sizes: DataFrame, plan: DataFrame, seed: int = 7) -> DataFrame:
 
 
 def mix_report(plan: DataFrame, drawn: DataFrame) -> DataFrame:
-    """Target and reached tokens and shares per mix and source."""
+    """Target and reached tokens and shares per mix and source; ``unmet`` marks a source that was taken whole, as often as it may be, and stays below its target."""
     got = drawn.groupBy("mix_id", "source").agg(F.sum(F.col("n_tokens") * F.col("copies")).alias("reached_tokens"), F.max("copies").alias("most_copies"), F.count(F.lit(1)).alias("docs"))
     rows = plan.join(got, ["mix_id", "source"], "left")
     whole = Window.partitionBy("mix_id")
     reached = F.coalesce(F.col("reached_tokens"), F.lit(0))
-    return rows.select("mix_id", "source", "target_weight", "target_tokens", "available_tokens", "max_repeats", "short", "budget", "exponent", reached.alias("reached_tokens"), (reached / F.sum(reached).over(whole)).alias("reached_share"), F.coalesce("most_copies", F.lit(0)).alias("most_copies"))
+    used_up = reached >= F.col("available_tokens") * F.greatest(F.coalesce("max_repeats", F.lit(0)), F.lit(0))
+    return rows.select(
+        "mix_id", "source", "target_weight", "target_tokens", "available_tokens", "max_repeats", "short", "budget", "exponent", reached.alias("reached_tokens"), (reached / F.sum(reached).over(whole)).alias("reached_share"),
+        F.coalesce("most_copies", F.lit(0)).alias("most_copies"), (used_up & (reached < F.col("target_tokens"))).alias("unmet"),
+    )

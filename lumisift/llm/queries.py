@@ -51,14 +51,15 @@ def p1_share_capped(spark, d):
 
 def four_scores(spark, d):
     """Frames with all four scores; brightness as its negative distance from 140."""
-    step3 = table(spark, d, "step3_dataset_report")
+    step3 = table(spark, d, "step3_dataset_report").filter(F.col("frame_id").isNotNull())
+    place = F.struct("reported_at", "seq")
+    last = lambda v: F.max_by(v, F.when(v.isNotNull(), place))
     parts = [
         reports.latest_value(table(spark, d, "step7_dataset_report"), reports.candidate_score(), "score"),
         reports.latest_value(table(spark, d, "step6_dataset_report"), reports.similarity(), "similarity"),
-        reports.latest_value(step3, reports.brightness(), "bright"),
-        reports.latest_value(step3, reports.face_dimension(), "dim"),
+        step3.groupBy("frame_id").agg(last(reports.brightness()).alias("bright"), last(reports.face_dimension()).alias("dim")).filter("bright is not null and dim is not null"),
     ]
-    rows = parts[0].join(parts[1], "frame_id").join(parts[2], "frame_id").join(parts[3], "frame_id")
+    rows = parts[0].join(parts[1], "frame_id").join(parts[2], "frame_id")
     return rows.select("frame_id", "score", "similarity", (-F.round(F.abs(F.col("bright") - 140.0), 1)).alias("brightness"), "dim")
 
 
@@ -70,8 +71,8 @@ def p2_combined(spark, d):
 
 
 def p2_found(spark, d):
-    head = [F.col(f"{c}_better") * 10 < F.col("n") for c in SCORES]
-    return p2_combined(spark, d).filter(head[0] & head[1] & head[2] & head[3]).select("frame_id")
+    """The head of the combined ranking, of which those count that reach the head's beginning on every score."""
+    return p2_combined(spark, d).filter("head_combined").filter("head_all").select("frame_id")
 
 
 def p2_percentiles(spark, d):
@@ -105,13 +106,13 @@ def p5_subset(spark, d):
 
 
 def p5_found(spark, d):
-    """The mandatory rows of the varied subset, drawn whole first."""
-    return cut_lineage(p5_subset(spark, d)).filter("mandatory").select("frame_id")
+    """The rows of the varied subset that were drawn from the strata of lone poses."""
+    return p5_subset(spark, d).filter("mandatory").select("frame_id")
 
 
 def p6_report(spark, d):
     members = quotas.cell_members(table(spark, d, "step7_dataset_report"))
-    return quotas.quota_report(members, quotas.cell_targets(table(spark, d, "quota_targets"))).select("request_id", "quota_cell", "available", "needed", "quota", "unmet")
+    return quotas.quota_report(members, quotas.cell_targets(table(spark, d, "quota_targets"))).select("request_id", "quota_cell", "available", "needed", "quota", "shortfall", "unmet")
 
 
 def p6_found(spark, d):
@@ -141,7 +142,8 @@ def p8_plan(spark, d):
 
 
 def p8_found(spark, d):
-    return p8_plan(spark, d).filter("short").select("mix_id", "source")
+    """Sources that the realised mix has used up and that stay below their target."""
+    return p8_report(spark, d).filter("unmet").select("mix_id", "source")
 
 
 def p8_mix(spark, d):

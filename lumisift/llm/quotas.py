@@ -51,24 +51,29 @@ def allocate(share: np.ndarray, floor: np.ndarray, available: np.ndarray, size:
 def _allocate(pdf: pd.DataFrame) -> pd.DataFrame:
     pdf = pdf.sort_values("category", kind="stable")
     size = int(np.nan_to_num(pdf["sample_size"].max()))
-    pdf["quota"] = allocate(pdf["target_share"].to_numpy(float), pdf["min_count"].fillna(0).to_numpy(float), pdf["available"].to_numpy(float), size)
+    available = pdf["available"].to_numpy(float)
+    pdf["quota"] = allocate(pdf["target_share"].to_numpy(float), pdf["min_count"].fillna(0).to_numpy(float), available, size)
+    # What the cap takes from a category's target before the rest is shared out among the others.
+    pdf["shortfall"] = np.maximum(pdf["needed"].to_numpy(float) - available, 0.0)
     return pdf
 
 
 def quota_report(members: DataFrame, targets: DataFrame, category: str = "category") -> DataFrame:
-    """Per request and category: ``available``, ``needed`` (the larger of floor and target), ``quota``, ``unmet``.
+    """Per request and category: ``available``, ``needed`` (the larger of floor and target), ``quota``, ``shortfall``, ``unmet``.
 
     ``members`` has one row per record with its ``category``; ``targets`` has request_id, category, target_share, min_count and sample_size.
     Members are counted on the map side. Missing minimum, share or size counts as 0; an absent
-    category has 0 available. Only a request's categories come together in one task.
+    category has 0 available. A category is ``unmet`` if its quota stays below what it needs because it has too few records; one whose quota is
+    lower only because the floors of others leave less is not. Only a request's categories come together in one task.
     """
     counts = members.groupBy(category).agg(F.count(F.lit(1)).alias("available"))
     joined = targets.join(counts, category, "left").withColumn("available", F.coalesce("available", F.lit(0)).cast("bigint"))
-    fields = [f"{f.name} {f.dataType.simpleString()}" for f in joined.schema.fields]
-    out = joined.groupBy("request_id").applyInPandas(_allocate, ", ".join([*fields, "quota bigint"]))
     # Rounded far below any share's precision: 0.07 * 100 is 7, not 7.000000000000001.
     needed = F.greatest(F.coalesce(F.col("min_count").cast("double"), F.lit(0.0)), F.round(F.coalesce(F.col("target_share") * F.col("sample_size"), F.lit(0.0)), 9))
-    return out.withColumn("needed", needed).withColumn("unmet", F.col("available") < F.col("needed"))
+    joined = joined.withColumn("needed", needed)
+    fields = [f"{f.name} {f.dataType.simpleString()}" for f in joined.schema.fields]
+    out = joined.groupBy("request_id").applyInPandas(_allocate, ", ".join([*fields, "quota bigint", "shortfall double"]))
+    return out.withColumn("unmet", (F.col("quota") < F.col("needed")) & (F.col("shortfall") > 0))
 
 
 def draw_sample(members: DataFrame, report: DataFrame, key: str, category: str = "category", seed: int = 7, hot_rows: int | None = None) -> DataFrame:
@@ -80,7 +85,8 @@ def draw_sample(members: DataFrame, report: DataFrame, key: str, category: str =
     drawn = cut_lineage(report.filter("quota > 0").select("request_id", category, "quota"))
     sizes = members.groupBy(category).agg(F.count(F.lit(1)).alias("rows"))
     wanted = drawn.groupBy(category).agg(F.collect_list(F.struct("request_id", "quota")).alias("requests"))
-    placed = skew_join(members, wanted.join(sizes, category), [category], "rows", hot_threshold(members.count()), F.col(key), "inner")
+    count = members.count()
+    placed = skew_join(members, wanted.join(sizes, category), [category], "rows", hot_threshold(count), F.col(key), "inner", count)
     rows = placed.select(key, category, F.explode("requests").alias("x")).select(key, category, F.col("x.request_id").alias("request_id"))
     u = F.pmod(F.xxhash64(F.lit(seed), F.col("request_id"), F.col(key)), F.lit(1 << 52)) / float(1 << 52)
     rows = cut_lineage(rows.withColumn("stratum", F.concat_ws("|", "request_id", category)).withColumn("u", -u))

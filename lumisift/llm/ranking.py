@@ -33,7 +33,7 @@ def inverse_normal(p: Column) -> Column:
     return F.when(p < 0.02425, outer).when(p > 1 - 0.02425, -outer).otherwise(inner)
 
 
-def combine_scores(rows: DataFrame, key: str, scores: dict[str, float], hot_rows: int | None = None) -> DataFrame:
+def combine_scores(rows: DataFrame, key: str, scores: dict[str, float], hot_rows: int | None = None, head: float = 0.1) -> DataFrame:
     """Rank records by the weighted mean of their scores' normal quantiles.
 
     ``scores`` maps columns of ``rows`` (higher is better) to weights. Each score becomes its
@@ -41,8 +41,10 @@ def combine_scores(rows: DataFrame, key: str, scores: dict[str, float], hot_rows
     distribution at it, so that only the order within each score counts and no range outweighs another.
     Records that lack any score or the key are left out; of a repeated key the best value of each score counts.
 
-    Returns ``key``, ``<score>_pct``, ``<score>_better`` (records strictly better), ``n``,
-    ``combined`` and ``rank`` (1 + records with a strictly greater ``combined``, at 9 decimals).
+    Returns ``key``, per score ``<score>_pct``, ``<score>_z`` and ``<score>_better`` (records strictly better), ``n``,
+    ``combined``, and ``head_combined`` and ``head_all``. On each score the head is what has fewer than ``head`` of the records strictly above it, and it begins at a quantile: a
+    record whose ``combined`` reaches the weighted mean of these beginnings belongs to the head of the ranking (``head_combined``); ``head_all`` are those of them that reach the
+    beginning on every score, and no other record can.
     Ranks come from prefix counts over the distinct values, so that no window spans all rows and a value shared by a third of the records is
     one row; it is joined back apart from the others. An empty table gives an empty result.
     """
@@ -54,22 +56,30 @@ def combine_scores(rows: DataFrame, key: str, scores: dict[str, float], hot_rows
     # -0.0 and 0.0 are one value, also where they are keys.
     long = ready.select(key, F.explode(F.array(*[F.struct(F.lit(i).alias("s"), (F.col(c) + F.lit(0.0)).alias("v")) for i, c in enumerate(names)])).alias("x")).select(key, "x.s", "x.v")
     long = cut_lineage(long)
-    total = long.count() // max(1, len(names))
-    threshold = hot_threshold(total, hot_rows) if hot_rows else hot_threshold(total)
+    count = long.count()
+    threshold = hot_threshold(count, hot_rows)
     values = long.groupBy("s", "v").agg(F.count(F.lit(1)).alias("eq"))
-    ranked = prefix_counts(values, "s", "v", "eq")
     pct = (F.col("below") + F.col("eq") / 2) / F.col("total")
-    ranked = ranked.select("s", "v", "eq", F.col("eq").alias("rows"), "total", pct.alias("pct"), inverse_normal(pct).alias("z"), (F.col("total") - F.col("below") - F.col("eq")).alias("better"))
-    placed = skew_join(long, ranked.drop("eq"), ["s", "v"], "rows", threshold, F.col(key), "inner")
+    ranked = prefix_counts(values, "s", "v", "eq").select("s", "v", F.col("eq").alias("rows"), "total", pct.alias("pct"), inverse_normal(pct).alias("z"), (F.col("total") - F.col("below") - F.col("eq")).alias("better"))
+    ranked = cut_lineage(ranked)
+    placed = skew_join(long, ranked, ["s", "v"], "rows", threshold, F.col(key), "inner", count)
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in scores.values()]), F.col("s") + 1)
     parts = []
     for i, c in enumerate(names):
-        parts += [F.max(F.when(F.col("s") == i, F.col("pct"))).alias(f"{c}_pct"), F.max(F.when(F.col("s") == i, F.col("better"))).alias(f"{c}_better")]
+        parts += [F.max(F.when(F.col("s") == i, F.col(x))).alias(f"{c}_{x}") for x in ("pct", "z", "better")]
     # Summed in the order of the scores, not of arrival, so that equal records get equal sums.
-    z = [F.max(F.when(F.col("s") == i, F.col("z") * weight)).alias(f"__z{i}") for i in range(len(names))]
-    wide = placed.groupBy(key).agg(*parts, F.max("total").alias("n"), *z)
-    mean = sum((F.col(f"__z{i}") for i in range(len(names))), F.lit(0.0)) / float(sum(scores.values()))
-    return wide.select(key, *[c for x in names for c in (f"{x}_pct", f"{x}_better")], "n", F.round(mean, 9).alias("combined"))
+    mean = lambda z: F.round(sum((z(i, c) for i, c in enumerate(names)), F.lit(0.0)) / float(sum(scores.values())), 9)
+    weights = list(map(float, scores.values()))
+    wide = placed.groupBy(key).agg(*parts, F.max("total").alias("n")).withColumn("combined", mean(lambda i, c: F.col(f"{c}_z") * weights[i]))
+    # One row: where the head of each score begins.
+    begin = ranked.filter(F.col("better") < F.col("total") * head).agg(*[F.min(F.when(F.col("s") == i, F.col("z"))).alias(f"__from{i}") for i in range(len(names))])
+    begin = begin.withColumn("__from", mean(lambda i, c: F.col(f"__from{i}") * weights[i]))
+    wide = wide.join(F.broadcast(begin), how="left")
+    leads = F.coalesce(F.col("combined") >= F.col("__from"), F.lit(False))
+    every = F.lit(True)
+    for i, c in enumerate(names):
+        every = every & (F.col(f"{c}_z") >= F.col(f"__from{i}"))
+    return wide.select(key, *[f"{c}_{x}" for c in names for x in ("pct", "z", "better")], "n", "combined", leads.alias("head_combined"), (leads & F.coalesce(every, F.lit(False))).alias("head_all"))
 
 
 def with_rank(combined: DataFrame, key: str, score: str = "combined") -> DataFrame:
@@ -77,4 +87,5 @@ def with_rank(combined: DataFrame, key: str, score: str = "combined") -> DataFra
     held = cut_lineage(combined)
     values = held.groupBy(F.lit(0).alias("g"), F.col(score).alias("v")).agg(F.count(F.lit(1)).alias("eq"))
     ranks = prefix_counts(values, "g", "v", "eq").select(F.col("v").alias(score), F.col("eq").alias("rows"), (F.col("total") - F.col("below") - F.col("eq") + 1).alias("rank"))
-    return skew_join(held, ranks, [score], "rows", hot_threshold(held.count()), F.col(key), "inner")
+    count = held.count()
+    return skew_join(held, ranks, [score], "rows", hot_threshold(count), F.col(key), "inner", count)

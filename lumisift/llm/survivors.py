@@ -37,8 +37,10 @@ OWN = ("seq", "reported_at", "step_name", "filename", "file_size_bytes", "tempor
 # The shot types and pose buckets that step 3 and step 4 can produce, in canonical spelling.
 SHOTS = ("closeup", "upperbody", "fullbody")
 POSES = ("front", "left3q", "right3q", "leftprofile", "rightprofile", "lookingup", "lookingdown", "extremepose")
-#: Order in which the search fixes the bundles: those under constraints first.
-ORDER = ("shot", "pose", "image", "eyes", "hash")
+#: Order in which the search fixes the bundles: those under constraints first. ``frame``, the surviving frame itself, is one of them: its trust is its score.
+ORDER = ("shot", "pose", "image", "eyes", "hash", "frame")
+#: Added to a score, -30 at least, so that a frame is never worth less than none.
+OFFSET = 32.0
 
 
 def best_bundles(options: dict[str, list[tuple]]) -> dict[str, tuple]:
@@ -79,11 +81,13 @@ def best_bundles(options: dict[str, list[tuple]]) -> dict[str, tuple]:
 def _choose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         out = []
-        for run, group, frame, score, frames, options in zip(pdf["run_id"], pdf["grp"], pdf["frame_id"], pdf["score"], pdf["frames"], pdf["options"]):
+        for run, group, frames, options in zip(pdf["run_id"], pdf["grp"], pdf["frames"], pdf["options"]):
             by: dict[str, list[tuple]] = {}
             for o in options:
                 by.setdefault(o["bundle"], []).append((o["trust"], o["shot"], o["pose_shot"], o["seq"]))
             best = best_bundles(by)
+            frame = best["frame"][3]
+            score = next(o["score"] for o in options if o["bundle"] == "frame" and o["seq"] == frame)
             out.append((run, group, frame, score, frames, *[best[b][3] if b in best else None for b in BUNDLES]))
         yield pd.DataFrame(out, columns=["run_id", "duplicate_group", "frame_id", "face_quality_score", "frames", *[f"{b}_seq" for b in BUNDLES]]).astype({f"{b}_seq": "Int64" for b in BUNDLES})
 
@@ -136,28 +140,32 @@ def _members(step5: DataFrame, columns: tuple[str, ...]) -> DataFrame:
 def choose_survivors(step5: DataFrame) -> DataFrame:
     """One row per duplicate group (run_id and trimmed lower-case label) of two or more frames.
 
-    ``frame_id`` is the frame of highest quality score, each frame's latest row of the group with a possible score
-    counting, ties to the smaller frame_id; groups without any possible score give no row. ``<bundle>_seq`` names the row from which a whole
-    bundle of dependent fields is taken (:func:`best_bundles`); null where the group has no value for it.
+    The search (:func:`best_bundles`) chooses all parts of the survivor: ``frame_id``, the frame of highest quality score, each frame's latest row of the group with a possible score
+    counting, ties to the smaller frame_id, and for each bundle of dependent fields ``<bundle>_seq``, the row from which the whole bundle is taken;
+    null where the group has no value for it. Groups without any possible score give no row.
     Rows without run, label or frame belong to no group. Recorded group_best and duplicate_status are not read.
 
     Of the options for a bundle only the most trusted (then latest) per combination of the constrained values can be part of a best solution, and
     there are at most 4 x 4 x 9 combinations; that reduction runs on the map side, so that a group with a third of all rows reaches the search as
-    a short list.
+    a short list. Of the frames the best of each combination are options.
     """
     types = dict(step5.dtypes)
     rows = _members(step5, tuple(c for b in BUNDLES.values() for c in b))
-    frames = rows.groupBy("run_id", "grp", "frame_id").agg(F.max_by(F.col("score"), F.when(F.col("score").isNotNull(), F.struct("reported_at", "seq"))).alias("score"))
-    best = frames.groupBy("run_id", "grp").agg(F.count(F.lit(1)).alias("frames"), F.max(F.when(F.col("score").isNotNull(), F.struct("score", (-F.col("frame_id")).alias("f")))).alias("b"))
-    best = best.filter("frames >= 2 and b is not null").select("run_id", "grp", (-F.col("b.f")).alias("frame_id"), F.col("b.score").alias("score"), "frames")
     trust = _trust(types)
     key = canonical(F.col("pose_cluster_key"))
     pose_shot = F.coalesce(*[F.when(key.startswith(s), s) for s in SHOTS], F.lit(""))
-    signed = rows.select("run_id", "grp", "seq", "reported_at", _known(F.col("shot_type"), SHOTS).alias("s_shot"), pose_shot.alias("s_pose_shot"), _known(F.col("pose_bucket"), POSES).alias("s_pose"), *[trust[b].alias(f"t_{b}") for b in BUNDLES])
-    tops = signed.groupBy("run_id", "grp", "s_shot", "s_pose_shot", "s_pose").agg(*[F.max(F.when(F.col(f"t_{b}").isNotNull(), F.struct(F.col(f"t_{b}").alias("trust"), "reported_at", "seq"))).alias(b) for b in BUNDLES])
-    options = F.array_compact(F.array(*[F.when(F.col(b).isNotNull(), F.struct(F.lit(b).alias("bundle"), F.col(f"{b}.trust").alias("trust"), F.col("s_shot").alias("shot"), F.col("s_pose_shot").alias("pose_shot"), F.col(f"{b}.seq").alias("seq"))) for b in BUNDLES]))
+    signs = ("s_shot", "s_pose_shot", "s_pose")
+    signed = rows.select("run_id", "grp", "frame_id", "seq", "reported_at", "score", _known(F.col("shot_type"), SHOTS).alias("s_shot"), pose_shot.alias("s_pose_shot"), _known(F.col("pose_bucket"), POSES).alias("s_pose"), *[trust[b].alias(f"t_{b}") for b in BUNDLES])
+    place = F.struct("reported_at", "seq")
+    frames = signed.groupBy("run_id", "grp", "frame_id").agg(F.max_by(F.struct("score", *signs), F.when(F.col("score").isNotNull(), place)).alias("r"))
+    frames = frames.select("run_id", "grp", "frame_id", "r.score", *[F.coalesce(f"r.{s}", F.lit("")).alias(s) for s in signs])
+    leaders = frames.groupBy("run_id", "grp", *signs).agg(F.count(F.lit(1)).alias("frames"), F.max(F.when(F.col("score").isNotNull(), F.struct("score", (-F.col("frame_id")).alias("f")))).alias("b"))
+    option = lambda name, trust, seq, score=F.lit(None): F.struct(F.lit(name).alias("bundle"), trust.alias("trust"), F.col("s_shot").alias("shot"), F.col("s_pose_shot").alias("pose_shot"), seq.cast("bigint").alias("seq"), score.cast("double").alias("score"))
+    leads = leaders.groupBy("run_id", "grp").agg(F.sum("frames").alias("frames"), F.collect_list(F.when(F.col("b").isNotNull(), option("frame", F.col("b.score") + OFFSET, -F.col("b.f"), F.col("b.score")))).alias("leads"))
+    tops = signed.groupBy("run_id", "grp", *signs).agg(*[F.max(F.when(F.col(f"t_{b}").isNotNull(), F.struct(F.col(f"t_{b}").alias("trust"), "reported_at", "seq"))).alias(b) for b in BUNDLES])
+    options = F.array_compact(F.array(*[F.when(F.col(b).isNotNull(), option(b, F.col(f"{b}.trust"), F.col(f"{b}.seq"))) for b in BUNDLES]))
     lists = tops.groupBy("run_id", "grp").agg(F.flatten(F.collect_list(options)).alias("options"))
-    ready = best.join(lists, ["run_id", "grp"])
+    ready = leads.filter("frames >= 2 and size(leads) > 0").join(lists, ["run_id", "grp"]).select("run_id", "grp", "frames", F.concat("leads", "options").alias("options"))
     schema = f"run_id {types['run_id']}, duplicate_group string, frame_id {types['frame_id']}, face_quality_score double, frames bigint, " + ", ".join(f"{b}_seq bigint" for b in BUNDLES)
     return ready.mapInPandas(_choose, schema)
 

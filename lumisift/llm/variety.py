@@ -13,7 +13,7 @@ from ..functions.spelling import canonical
 from ..operators.skew import hot_threshold, skew_join
 from ..session import cut_lineage
 from .capping import top_by_cutoff
-from .reports import frame_scenes, latest, number
+from .reports import number, scene_key
 
 #: Clusters, rows of a mini-batch and batches of the k-means; at most BATCH x BATCHES rows are ever read by the driver.
 CLUSTERS = 32
@@ -68,34 +68,40 @@ def nearest(features: list[str], centres: np.ndarray) -> Column:
     return F.array_min(F.array(*far)).getField("i")
 
 
-def isolated(rows: DataFrame, key: str, group: list[str], features: list[str], radius: float, cluster: str = "cluster") -> DataFrame:
+def isolated(rows: DataFrame, key: str, group: list[str], features: list[str], radius: float) -> DataFrame:
     """``key`` of the records with no other record of their group within ``radius`` (inclusive).
 
-    Rows have a ``cluster`` from the k-means. Space is cut into cells whose diagonal is the radius: two records in one cluster and cell prove
-    each other not isolated, so only those alone in theirs are candidates, at most one per group, cluster and cell, counted on the map side. A
+    Space is cut into cells whose diagonal is the radius: two records in one cell prove
+    each other not isolated, so only those alone in theirs are candidates, at most one per group and cell, counted on the map side. A
     candidate is then compared with what other cells hold within reach; a cell full of records is read once per candidate nearby and
-    never paired with itself. Two features or more; cells in reach grow with their number.
+    never paired with itself. Groups and cells are named by hashes (two of a group), so that short rows are shuffled. Two features or more; cells in reach grow with their number.
     """
     side = radius / math.sqrt(len(features))
     reach = math.ceil(math.sqrt(len(features)))
     cells = [f"__c{i}" for i in range(len(features))]
-    placed = rows.select(key, *group, cluster, *features, *[F.floor(F.col(f) / side).cast("bigint").alias(c) for f, c in zip(features, cells)])
-    own = placed.groupBy(*group, cluster, *cells).agg(F.count(F.lit(1)).alias("__n"), F.min(key).alias("__key"), *[F.min(f).alias(f) for f in features])
-    lone = cut_lineage(own.filter("__n = 1").select(*group, F.col("__key").alias("__cand"), *[F.col(f).alias(f"__x{i}") for i, f in enumerate(features)], *cells))
+    xs = [f"__x{i}" for i in range(len(features))]
+    total = rows.count()
+    who = ("__g", "__h")
+    here = F.xxhash64("__g", *cells)
+    named = rows.select(key, F.xxhash64(F.lit(1), *group).alias("__g"), F.hash(F.lit(2), *group).alias("__h"), *[F.col(f).alias(x) for f, x in zip(features, xs)])
+    placed = named.withColumns({c: F.floor(F.col(x) / side).cast("bigint") for x, c in zip(xs, cells)}).withColumn("__cell", here)
+    own = cut_lineage(placed.groupBy("__cell", *who, *cells).agg(F.count(F.lit(1)).alias("__n"), F.min(key).alias("__cand"), *[F.min(x).alias(x) for x in xs]))
+    lone = own.filter("__n = 1")
     steps = F.array(*[F.lit(x) for x in range(-reach, reach + 1)])
-    around = lone
+    around = lone.select("__cand", *who, *xs, *cells)
     for c in cells:
         around = around.withColumn("__step", F.explode(steps)).withColumn(c, F.col(c) + F.col("__step")).drop("__step")
     # Only cells that the circle of the radius reaches: the distance to the nearest point of the cell decides.
-    short = [F.greatest(F.col(c) * side - F.col(f"__x{i}"), F.col(f"__x{i}") - (F.col(c) + 1) * side, F.lit(0.0)) for i, c in enumerate(cells)]
-    around = around.filter(sum((x * x for x in short), F.lit(0.0)) <= radius * radius + 1e-6)
-    # Candidates by cell as one row, so that each record meets one partner row even where a cell holds a third of all records.
-    around = around.groupBy(*group, *cells).agg(F.collect_list(F.struct("__cand", *[f"__x{i}" for i in range(len(features))])).alias("__near"))
-    sizes = placed.groupBy(*group, *cells).agg(F.count(F.lit(1)).alias("__rows"))
-    around = around.join(sizes, [*group, *cells])
-    met = skew_join(placed.select(key, *group, *features, *cells), around, [*group, *cells], "__rows", hot_threshold(rows.count()), F.col(key), "inner")
-    gap = sum(((F.col(f"__n.__x{i}") - F.col(f)) * (F.col(f"__n.__x{i}") - F.col(f)) for i, f in enumerate(features)), F.lit(0.0))
-    met = met.withColumn("__n", F.explode("__near")).filter((F.col("__n.__cand") != F.col(key)) & (gap <= radius * radius + 1e-9)).select(F.col("__n.__cand").alias(key)).distinct()
+    short = [F.greatest(F.col(c) * side - F.col(x), F.col(x) - (F.col(c) + 1) * side, F.lit(0.0)) for x, c in zip(xs, cells)]
+    around = around.filter(sum((x * x for x in short), F.lit(0.0)) <= radius * radius + 1e-6).withColumn("__cell", here)
+    # Candidates by cell as one row, so that each record meets one partner row even where a cell holds a third of all records. A cell lies in reach of a bounded number of others.
+    near = around.groupBy("__cell").agg(F.collect_list(F.struct("__cand", *who, *xs)).alias("__near"))
+    near = near.join(own.groupBy("__cell").agg(F.sum("__n").alias("__n")), "__cell")
+    met = skew_join(placed.select(key, "__cell", *who, *xs), near, ["__cell"], "__n", hot_threshold(total), F.col(key), "inner", total)
+    met = met.select(key, *who, *xs, F.explode("__near").alias("__o"))
+    gap = sum(((F.col(f"__o.{x}") - F.col(x)) * (F.col(f"__o.{x}") - F.col(x)) for x in xs), F.lit(0.0))
+    same = (F.col("__o.__g") == F.col("__g")) & (F.col("__o.__h") == F.col("__h")) & (F.col("__o.__cand") != F.col(key))
+    met = met.filter(same & (gap <= radius * radius + 1e-9)).select(F.col("__o.__cand").alias(key)).distinct()
     return lone.select(F.col("__cand").alias(key)).distinct().join(met, key, "left_anti")
 
 
@@ -103,22 +109,26 @@ def cluster_quotas(strata: DataFrame, size: int, rule: str = "sqrt") -> DataFram
     """``quota`` per stratum (columns stratum, n): equal or in proportion to the square root of n, summing to ``size``.
 
     A stratum never gets more than it has; its unused slots go to the others by bisecting the scale of the quotas. Whole numbers
-    are taken by the largest remainder, equal remainders by a hash of the stratum. Strata with 1 in a column ``least`` (0 or 1) get a slot
-    before the rest is shared out; if ``size`` is below their number, the larger of them get one each. Strata of equal size are handled together:
-    the driver sees one row per distinct size and ``least``.
+    are taken by the largest remainder, equal remainders by a hash of the stratum. Strata with a column ``least`` get so many slots (n at most)
+    before the rest is shared out; where ``size`` is below their sum, strata with a true ``firm`` get theirs and of the others the larger get one each. Strata of equal size are handled together:
+    the driver sees one row per distinct size, ``least`` and ``firm``.
     """
     if rule not in ("sqrt", "equal"):
         raise ValueError("rule is 'sqrt' or 'equal'")
     if "least" not in strata.columns:
-        strata = strata.withColumn("least", F.lit(0))
-    sizes = strata.groupBy("n", "least").agg(F.count(F.lit(1)).alias("m")).orderBy("n", "least").collect()
+        strata = strata.withColumn("least", F.lit(0).cast("bigint"))
+    if "firm" not in strata.columns:
+        strata = strata.withColumn("firm", F.lit(False))
+    strata = strata.withColumn("least", F.least(F.col("least").cast("bigint"), "n"))
+    sizes = strata.groupBy("n", "least", "firm").agg(F.count(F.lit(1)).alias("m")).orderBy("n", "least", "firm").collect()
     if not sizes:
         return strata.select("stratum", F.lit(0).cast("bigint").alias("quota"))
     n, m, least = (np.array([r[c] for r in sizes], float) for c in ("n", "m", "least"))
+    firm = np.array([r["firm"] for r in sizes])
     weight = np.sqrt(n) if rule == "sqrt" else np.ones(len(n))
     size = int(min(size, (n * m).sum()))
     if (least * m).sum() > size:
-        exact = least * weight / (weight.max() + 1)
+        exact = np.where(firm, least, (least > 0) * weight / (weight.max() + 1))
     else:
         a, b = 0.0, float((n / weight).max())
         for _ in range(200):
@@ -134,8 +144,8 @@ def cluster_quotas(strata: DataFrame, size: int, rule: str = "sqrt") -> DataFram
         if whole[i] < n[i]:
             more[i] = min(open_slots, int(m[i]))
             open_slots -= more[i]
-    by_size = strata.sparkSession.createDataFrame([(int(n[i]), int(least[i]), int(whole[i]), bool(more[i] == m[i]), int(more[i])) for i in range(len(n))], "n bigint, least int, base bigint, every boolean, some bigint")
-    out = cut_lineage(strata.select("stratum", "n", "least").join(by_size, ["n", "least"]))
+    by_size = strata.sparkSession.createDataFrame([(int(n[i]), int(least[i]), bool(firm[i]), int(whole[i]), bool(more[i] == m[i]), int(more[i])) for i in range(len(n))], "n bigint, least bigint, firm boolean, base bigint, every boolean, some bigint")
+    out = cut_lineage(strata.select("stratum", "n", "least", "firm").join(by_size, ["n", "least", "firm"]))
     quota = by_size.filter("not every and some > 0").select("n", F.col("some").alias("quota"))  # one size at most
     rows = out.filter("not every and some > 0").select("stratum", "n", (-F.pmod(F.xxhash64("stratum"), F.lit(1 << 52)) / float(1 << 52)).alias("u"))
     lucky = top_by_cutoff(cut_lineage(rows), "n", "u", "stratum", quota, -1.0, 0.0).filter("kept").select("stratum", F.lit(1).alias("one"))
@@ -153,8 +163,8 @@ def varied_subset(rows: DataFrame, key: str, group: list[str], features: list[st
     """``size`` records (a float is a share of all) that cover the variety of the table: key, group columns, cluster and ``mandatory``.
 
     Records are clustered by ``features``; each (group, cluster) is a stratum with a square-root or equal quota, and its records
-    of smallest random key are taken. With a ``radius``, records that have no other of their group within it are taken first
-    (``mandatory``), and ``size`` grows to their number if it is smaller. Every group without a mandatory record gets a slot, in its largest
+    of smallest random key are taken. With a ``radius``, records that have no other of their group within it (``mandatory``) form strata of their own
+    within group and cluster, whose quota is all they have, and ``size`` grows to their number if it is smaller; quotas and sampling are one for all. Every group without a mandatory record gets a slot, in its largest
     stratum, before the rest is shared out; a warning tells how many groups stay without a record where ``size`` is too small for that. Records without key, features or with NaN are left out; a null group value is a
     group of its own; of a repeated key one record counts. An empty table gives an empty result; a table not larger than ``size`` comes out whole.
     """
@@ -163,31 +173,32 @@ def varied_subset(rows: DataFrame, key: str, group: list[str], features: list[st
         ready = ready.filter(F.col(f).isNotNull() & ~F.isnan(f))
     ready = ready.groupBy(key).agg(F.min(F.struct(*group, *features)).alias("r")).select(key, "r.*")
     placed = clustered(ready, key, features, clusters, seed)
-    out = [key, *group, "cluster"]
     if radius is not None:
         alone = isolated(placed, key, group, features, radius).withColumn("mandatory", F.lit(True))
-        placed = cut_lineage(placed.join(alone, key, "left").withColumn("mandatory", F.coalesce("mandatory", F.lit(False))))
+        placed = placed.join(alone, key, "left").withColumn("mandatory", F.coalesce("mandatory", F.lit(False)))
     else:
         placed = placed.withColumn("mandatory", F.lit(False))
-    must = placed.filter("mandatory").select(*out, "mandatory")
-    rest = placed.filter("not mandatory")
-    rest = rest.withColumn("stratum", F.xxhash64(*group, "cluster")).withColumn("u", -F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(1 << 52)) / float(1 << 52))
+    placed = placed.withColumn("stratum", F.xxhash64(*group, "cluster", "mandatory")).withColumn("u", -F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(1 << 52)) / float(1 << 52))
+    placed = cut_lineage(placed.drop(*features))
     kind = F.array(F.lit(""), *[F.col(g).cast("string") for g in group]).alias("kind")  # also without group columns
-    strata = cut_lineage(rest.groupBy(kind, "stratum").agg(F.count(F.lit(1)).alias("n")))
-    largest = strata.groupBy("kind").agg(F.max(F.struct("n", "stratum")).getField("stratum").alias("stratum"))
-    floors = cut_lineage(largest.join(must.select(kind).distinct(), "kind", "left_anti").select("stratum", F.lit(1).alias("least")))
-    if isinstance(size, float):
-        size = round(size * placed.count())
-    left = max(0, size - (must.count() if radius is not None else 0))
-    if (kinds := floors.count()) > left:
-        warnings.warn(f"varied_subset: size {size} is too small for every group, {kinds - left} of them come out without a record", stacklevel=2)
-    quota = cluster_quotas(cut_lineage(strata.join(floors, "stratum", "left").select("stratum", "n", F.coalesce("least", F.lit(0)).alias("least"))), left, rule)
-    chosen = top_by_cutoff(rest, "stratum", "u", key, quota, -1.0, 0.0, hot_rows=hot_rows).filter("kept")
-    return must.unionByName(chosen.select(*out, "mandatory"))
+    strata = cut_lineage(placed.groupBy(kind, "stratum", "mandatory").agg(F.count(F.lit(1)).alias("n")))
+    kinds = strata.groupBy("kind").agg(F.max("mandatory").alias("safe"), F.max(F.struct("n", "stratum")).getField("stratum").alias("largest"))
+    counted = strata.agg(F.sum("n"), F.sum(F.when(F.col("mandatory"), F.col("n")))).first()
+    every, must = counted[0] or 0, counted[1] or 0
+    size = max(round(size * every) if isinstance(size, float) else size, must)
+    if (bare := kinds.filter("not safe").count()) > size - must:
+        warnings.warn(f"varied_subset: size {size} is too small for every group, {bare - size + must} of them come out without a record", stacklevel=2)
+    floor = F.when(F.col("mandatory"), F.col("n")).when(~F.col("safe") & (F.col("largest") == F.col("stratum")), F.lit(1)).otherwise(F.lit(0)).cast("bigint")
+    floored = strata.join(kinds, "kind").select("stratum", "n", floor.alias("least"), F.col("mandatory").alias("firm"))
+    quota = cluster_quotas(cut_lineage(floored), size, rule)
+    chosen = top_by_cutoff(placed, "stratum", "u", key, quota, -1.0, 0.0, hot_rows=hot_rows).filter("kept")
+    return chosen.select(key, *group, "cluster", "mandatory")
 
 
 def posed_frames(step4: DataFrame) -> DataFrame:
-    """Each frame's latest step-4 row with pose_status ok: frame_id, scene, pose_cell, yaw, pitch."""
-    ok = step4.filter(canonical(F.col("pose_status")) == "ok").select("frame_id", "reported_at", "seq", "pose_cluster_key", number("pose_yaw").alias("yaw"), number("pose_pitch").alias("pitch"))
-    rows = latest(ok, ["frame_id"], ["pose_cluster_key", "yaw", "pitch"])
-    return rows.join(frame_scenes(step4), "frame_id").select("frame_id", "scene", canonical(F.col("pose_cluster_key")).alias("pose_cell"), "yaw", "pitch")
+    """Each frame's latest step-4 row with pose_status ok: frame_id, scene (of its latest row of any status), pose_cell, yaw, pitch; one pass over the report."""
+    place = F.struct("reported_at", "seq")
+    ok = canonical(F.col("pose_status")) == "ok"
+    pose = F.max_by(F.struct("pose_cluster_key", number("pose_yaw").alias("yaw"), number("pose_pitch").alias("pitch")), F.when(ok, place))
+    rows = step4.filter(F.col("frame_id").isNotNull()).groupBy("frame_id").agg(pose.alias("p"), F.max_by(F.struct("scene_group", "filename"), place).alias("s")).filter("p is not null")
+    return rows.select("frame_id", scene_key(F.col("s.scene_group"), F.col("s.filename")).alias("scene"), canonical(F.col("p.pose_cluster_key")).alias("pose_cell"), "p.yaw", "p.pitch")
