@@ -83,8 +83,9 @@ def _plan(pdf: pd.DataFrame) -> pd.DataFrame:
     available = pdf["available_tokens"].to_numpy(float)
     caps = available * pdf["max_repeats"].fillna(0).clip(lower=0).to_numpy(float)
     weights = pdf["target_weight"].to_numpy(float)
-    if np.isnan(weights).all():  # no targets: the flattest mix within the repetition limit
-        exponent, weights = temperature_weights(available, total=total, caps=caps)
+    if np.isnan(weights).all():  # no targets: the mix of a given entropy, or the flattest within the repetition limit
+        aim = pdf["entropy_target"].max() if "entropy_target" in pdf else math.nan
+        exponent, weights = temperature_weights(available, None if np.isnan(aim) else aim, total, caps)
         pdf["target_weight"] = weights
     else:
         exponent, weights = None, np.nan_to_num(weights)
@@ -103,10 +104,12 @@ def mix_plan(sizes: DataFrame, targets: DataFrame) -> DataFrame:
 
     ``sizes`` has doc_id, source and n_tokens; sources agree by letters and digits. ``short`` marks a source whose texts, all taken
     ``max_repeats`` times, stay below target_weight * total_tokens. Its budget is that limit, and what is missing goes to
-    the other sources (:func:`spread_deficit`); a mix without weights gets temperature weights. Tokens are summed on the map side.
+    the other sources (:func:`spread_deficit`); a mix without weights gets temperature weights, those of the entropy in a column ``entropy_target`` of
+    ``targets`` or, without one, the flattest ones within the repetition limit. Tokens are summed on the map side.
     """
     tokens = sizes.groupBy(canonical(F.col("source")).alias("source_key")).agg(F.sum("n_tokens").alias("available_tokens"), F.count(F.lit(1)).alias("available_docs"))
-    rows = targets.select("mix_id", "source", "target_weight", "max_repeats", "total_tokens", canonical(F.col("source")).alias("source_key")).join(tokens, "source_key", "left")
+    aims = [F.col("entropy_target").cast("double").alias("entropy_target")] if "entropy_target" in targets.columns else []
+    rows = targets.select("mix_id", "source", F.col("target_weight").cast("double").alias("target_weight"), "max_repeats", "total_tokens", *aims, canonical(F.col("source")).alias("source_key")).join(tokens, "source_key", "left")
     rows = rows.withColumn("available_tokens", F.coalesce("available_tokens", F.lit(0)).cast("bigint")).withColumn("available_docs", F.coalesce("available_docs", F.lit(0)).cast("bigint"))
     fields = [f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields]
     return rows.groupBy("mix_id").applyInPandas(_plan, ", ".join([*fields, "target_tokens double", "short boolean", "budget double", "exponent double"]))

@@ -16,6 +16,8 @@ CAPACITY = 2048
 #: Share of the posed frames in the varied subset, and the largest share of a scene in the share-capped set.
 SUBSET = 0.3
 SHARE = 0.05
+#: Share of the greatest entropy that a mix by temperature aims at.
+ENTROPY = 0.9
 
 
 def scene_scores(spark: SparkSession, d: str) -> DataFrame:
@@ -91,6 +93,11 @@ def p3_survivors(spark, d):
     return survivors.fill_survivors(table(spark, d, "step5_dataset_report"))
 
 
+def p3_origin(spark, d):
+    """What a survivor takes from the frame's own latest row."""
+    return p3_survivors(spark, d).select("run_id", "duplicate_group", "frame_id", "face_quality_score", "frames", "seq", "filename", "temporal_index")
+
+
 def p4_found(spark, d):
     links = components.report_links(table(spark, d, "step5_dataset_report"))
     return components.connected_components(links, "src", "dst").select(F.col("node").alias("frame_id"), "group_id")
@@ -110,6 +117,16 @@ def p5_found(spark, d):
     return p5_subset(spark, d).filter("mandatory").select("frame_id")
 
 
+def p5_kinds(spark, d):
+    """Posed frames, lone ones and whether the subset shows the kind, per scene and pose cell."""
+    rows = cut_lineage(variety.posed_frames(table(spark, d, "step4_dataset_report")))
+    chosen = variety.varied_subset(rows, "frame_id", ["scene", "pose_cell"], ["yaw", "pitch"], SUBSET, radius=12.0)
+    by = ["scene", "pose_cell"]
+    posed = rows.filter("yaw is not null and pitch is not null and not isnan(yaw) and not isnan(pitch)").groupBy(*by).agg(F.count(F.lit(1)).alias("frames"))
+    shown = chosen.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.count_if("mandatory").alias("lone"))
+    return posed.join(shown, by, "left").select(*by, "frames", F.coalesce("lone", F.lit(0)).alias("lone"), (F.coalesce("n", F.lit(0)) > 0).alias("shown"))
+
+
 def p6_report(spark, d):
     members = quotas.cell_members(table(spark, d, "step7_dataset_report"))
     return quotas.quota_report(members, quotas.cell_targets(table(spark, d, "quota_targets"))).select("request_id", "quota_cell", "available", "needed", "quota", "shortfall", "unmet")
@@ -129,6 +146,11 @@ def p6_sample(spark, d):
     return quotas.draw_sample(members, report, "frame_id")
 
 
+def p6_drawn(spark, d):
+    """Frames drawn per request and category."""
+    return p6_sample(spark, d).groupBy("request_id", "category").agg(F.count(F.lit(1)).alias("drawn"), F.countDistinct("frame_id").alias("frames"))
+
+
 def p7_pack(spark, d):
     return packing.pack(tokens.document_sizes(table(spark, d, "documents")), "doc_id", "n_tokens", CAPACITY)
 
@@ -137,6 +159,19 @@ def p7_report(spark, d):
     return packing.container_report(p7_pack(spark, d), CAPACITY)
 
 
+def p7_pieces(spark, d):
+    """Pieces and units per document, packed by the size rule of characters: nothing is lost, and only what is longer than a container is cut."""
+    packed = packing.pack(tokens.character_sizes(table(spark, d, "documents")), "doc_id", "n_tokens", CAPACITY)
+    return packed.groupBy("doc_id").agg(F.count("container").alias("pieces"), F.sum("length").alias("units"))
+
+
+def p7_audit(spark, d):
+    """One row by the size rule of characters: all units, no container too full, and at most a hundredth more containers than the units need."""
+    packed = packing.pack(tokens.character_sizes(table(spark, d, "documents")), "doc_id", "n_tokens", CAPACITY)
+    r = packing.container_report(packed, CAPACITY)
+    return r.select(F.col("tokens").alias("units"), (F.col("fullest") <= CAPACITY).alias("fits"), (F.col("containers") <= F.ceil(F.col("tokens") / CAPACITY * 1.01)).alias("dense"))
+
+
 def p8_plan(spark, d):
     return mixing.mix_plan(tokens.document_sizes(table(spark, d, "documents")), table(spark, d, "mix_targets"))
 
@@ -157,6 +192,22 @@ def p8_report(spark, d):
     return mixing.mix_report(plan, mixing.realise(sizes, plan))
 
 
+def p8_budgets(spark, d):
+    """The plan by the size rule of characters: what each source has, what it should give and what it is asked for."""
+    plan = mixing.mix_plan(tokens.character_sizes(table(spark, d, "documents")), table(spark, d, "mix_targets"))
+    return plan.select("mix_id", "source", "available_tokens", F.floor(F.col("target_tokens") + 0.5).cast("bigint").alias("target"), F.floor(F.col("budget") + 0.5).cast("bigint").alias("budget"), "short")
+
+
+def p8_temperature(spark, d):
+    """Temperature weights by the size rule of characters, in place of the target weights: under the repetition limit, and at nine tenths of the greatest entropy."""
+    sizes = cut_lineage(tokens.character_sizes(table(spark, d, "documents")))
+    bare = table(spark, d, "mix_targets").withColumn("target_weight", F.lit(None).cast("double"))
+    many = bare.groupBy("mix_id").agg((F.ln(F.count(F.lit(1)).cast("double")) * ENTROPY).alias("entropy_target"))
+    plans = [mixing.mix_plan(sizes, bare).withColumn("rule", F.lit("limit")), mixing.mix_plan(sizes, bare.join(F.broadcast(many), "mix_id")).drop("entropy_target").withColumn("rule", F.lit("entropy"))]
+    e6 = lambda c: F.floor(F.col(c) * 1e6 + 0.5).cast("bigint").alias(f"{c}_e6")
+    return plans[0].unionByName(plans[1]).withColumnRenamed("target_weight", "weight").select("mix_id", "source", "rule", e6("exponent"), e6("weight"))
+
+
 def _sizes(spark, d):
     return cut_lineage(tokens.document_sizes(table(spark, d, "documents")))
 

@@ -15,14 +15,14 @@ from ..session import cut_lineage, spread
 
 #: Share of a sentence's words that the smallest vocabulary must cover.
 COVER = 0.65
-#: Longest ranked vocabularies, in words; any word behind them has the rank after the last. This bounds what is broadcast.
-CORPUS_WORDS = 65_536
-CLASS_WORDS = 50_000
+#: Words ranked in all, shared out equally among the languages, and words of a class ranking; this bounds what is broadcast. A word behind them has the rank after the last.
+WORDS = 262_144
+CLASS_WORDS = 262_144
 #: Labelled documents used for the calibration at most, chosen by hash. All other statistics are over all documents.
 LABELLED = 20_000
 #: Languages told apart, the most frequent ones of the ``lang`` column, and the labelled documents of both kinds that a language needs
 #: for class vocabularies of its own; below that it uses those of all languages together.
-LANGUAGES = 8
+LANGUAGES = 32
 LANGUAGE_LABELS = 5
 #: Every sentence longer than this is read in stretches of so many words, with or without its end mark; the length feature ends here.
 STRETCH = 30
@@ -146,7 +146,7 @@ class Vocabulary:
         by = np.array([[c.get(x, 0) for x in self.languages] for _, c in corpus], dtype=float).reshape(n, len(self.languages))
         # How much a word speaks for each language; unknown words say nothing.
         self.votes = np.vstack([np.log((by + 0.5) / (by.sum(0) + 0.5 * max(n, 1))), np.zeros(len(self.languages))])
-        self.tables = np.empty((3, len(self.languages), n + 1), dtype=np.int64)
+        self.tables = np.empty((3, len(self.languages), n + 1), dtype=np.int32)
         self.sizes = np.empty((3, len(self.languages)))
         for i in range(len(self.languages)):
             used = [j for j in np.argsort(-by[:, i], kind="stable") if by[j, i] > 0]
@@ -163,11 +163,11 @@ class Vocabulary:
 
     def add_classes(self, ranks: dict[tuple[str, bool], dict[str, int]]) -> None:
         """Class vocabularies (language, demanding) -> word -> rank; words new to the corpus ranks are added."""
-        new = [w for r in ranks.values() for w in r if w not in self.index]
-        for w in dict.fromkeys(new):
-            self.index[w] = len(self.votes) - 1
-            self.votes = np.vstack([self.votes, self.votes[-1:]])
-            self.tables = np.concatenate([self.tables, self.tables[:, :, -1:]], axis=2)
+        new = list(dict.fromkeys(w for r in ranks.values() for w in r if w not in self.index))
+        self.index |= {w: len(self.votes) - 1 + i for i, w in enumerate(new)}
+        # The last row and column stand for unknown words.
+        self.votes = np.vstack([self.votes, np.repeat(self.votes[-1:], len(new), axis=0)])
+        self.tables = np.concatenate([self.tables, np.repeat(self.tables[:, :, -1:], len(new), axis=2)], axis=2)
         for i, language in enumerate(self.languages):
             for hard in (False, True):
                 own = ranks.get((language, hard), ranks.get(("*", hard), {}))
@@ -225,22 +225,32 @@ class Vocabulary:
         bits = np.int64(21)
         columns = []
         for table, sizes in zip(self.tables, self.sizes):
-            ordered = np.sort((unit << bits) | table[language[text], ids])
+            ordered = np.sort((unit << bits) | table[language[text], ids].astype(np.int64))
             columns.append(np.log((ordered[at] & ((1 << bits) - 1)) / sizes[language[text[start]]]))
         columns.append(np.log(length))
         return np.column_stack(columns), length, text[start], language
 
 
-def corpus_vocabulary(documents: DataFrame, words: int = CORPUS_WORDS) -> Vocabulary:
-    """Word frequencies in the prose of all documents, by the language they claim; the driver gets ``words`` rows."""
+def corpus_vocabulary(documents: DataFrame, words: int = WORDS, most: int = LANGUAGES) -> Vocabulary:
+    """Word frequencies in the prose of all documents, by the language they claim.
+
+    The ``most`` languages with the most words are told apart; each keeps as many of its most frequent words as its equal part of ``words`` allows, words of equal frequency all or
+    none, so that no language takes another's room. Where the parts end is read off the number of words per frequency; the driver gets ``words`` rows at most.
+    """
     lang = F.coalesce(F.lower(F.substring(F.trim("lang"), 1, 2)), F.lit(""))
     counts = documents.select(lang.alias("lang"), "text").mapInArrow(_count_words, "lang string, word string, n bigint").groupBy("word", "lang").agg(F.sum("n").alias("n"))
-    by_word = counts.groupBy("word").agg(F.sum("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"))
-    rows = by_word.orderBy(F.desc("n"), "word").limit(words).collect()
-    total: Counter = Counter()
-    for r in rows:
-        total.update(r["by"])
-    languages = [x for x, _ in sorted(total.items(), key=lambda x: (-x[1], x[0])) if x][:LANGUAGES]
+    counts = cut_lineage(counts)
+    claimed = counts.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(most + 1).collect()
+    languages = [r["lang"] for r in claimed if r["lang"]][:most]
+    # All other claims, and none, are one more part.
+    part = F.when(F.col("lang").isin(*languages), F.col("lang")).otherwise("") if languages else F.lit("")
+    placed = counts.groupBy("word", part.alias("part")).agg(F.sum("n").alias("n"))
+    down = Window.partitionBy("part").orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, 0)
+    by_count = placed.groupBy("part", "n").agg(F.count(F.lit(1)).alias("m")).withColumn("m", F.sum("m").over(down))
+    ends = by_count.filter(F.col("m") <= words // (len(languages) + 1)).groupBy("part").agg(F.min("n").alias("least"))
+    kept = placed.join(F.broadcast(ends), "part").filter("n >= least").select("word").distinct()
+    by_word = counts.join(kept, "word").groupBy("word").agg(F.sum("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"))
+    rows = by_word.orderBy(F.desc("n"), "word").collect()
     return Vocabulary([(r["word"], r["by"]) for r in rows], languages)
 
 
