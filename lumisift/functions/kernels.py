@@ -19,6 +19,11 @@ class ModelRequired(RuntimeError):
     """The kernel needs a model or decoder that is not part of this package."""
 
 
+# Numbers of face-mesh points, the corners of both eyes and the outline's forehead, cheek, chin and cheek.
+EYES = ((33, 133), (263, 362))
+OUTLINE = (10, 234, 152, 454)
+
+
 def _reflect(gray: np.ndarray) -> np.ndarray:
     return np.pad(gray.astype(np.float64), 1, mode="reflect" if min(gray.shape) > 1 else "edge")
 
@@ -88,7 +93,7 @@ def anatomical_sharpness(gray: np.ndarray, landmarks: list[tuple[float, float]]
     if landmarks is None:
         return 0.0, 0.0
     mouth = patch_sharpness(landmark_patch(gray, (landmarks[61], landmarks[291]), (1.4, 0.8), (10.0, 8.0)))
-    eyes = [patch_sharpness(landmark_patch(gray, (landmarks[a], landmarks[b]), (1.5, 1.2), (8.0, 8.0))) for a, b in ((33, 133), (263, 362))]
+    eyes = [patch_sharpness(landmark_patch(gray, (landmarks[a], landmarks[b]), (1.5, 1.2), (8.0, 8.0))) for a, b in EYES]
     return (sum(eyes) / 2 if eye_valid and min(eyes) > 0 else 0.0), mouth
 
 
@@ -106,6 +111,63 @@ def cheek_texture(gray: np.ndarray, landmarks: list[tuple[float, float]] | None,
     return texture, float(eye_sharpness / max(texture, 0.005))
 
 
+def cut_patch(picture: np.ndarray, centre: tuple[float, float], half: tuple[float, float]) -> np.ndarray:
+    """The part of a picture within ``half`` (x, y) of a point, its ends in whole pixels toward 0 and inside the picture."""
+    h, w = picture.shape[:2]
+    (cx, cy), (rx, ry) = centre, half
+    return picture[max(0, int(cy - ry)) : max(0, min(h, int(cy + ry))), max(0, int(cx - rx)) : max(0, min(w, int(cx + rx)))]
+
+
+def eye_presence(saturation: np.ndarray, value: np.ndarray, landmarks: list[tuple[float, float]] | None) -> tuple[float, float]:
+    """:func:`eye_features` of the left and right eye, in patches around the middle of each eye's corners; 0 without a mesh. Validity is ``gate.eyes_valid``."""
+    if landmarks is None:
+        return 0.0, 0.0
+    h, w = value.shape
+    out = []
+    for a, b in EYES:
+        (ax, ay), (bx, by) = landmarks[a], landmarks[b]
+        span = math.hypot((ax - bx) * w, (ay - by) * h)
+        middle, half = ((ax + bx) * w / 2, (ay + by) * h / 2), (max(int(span * 0.8), 8), max(int(span * 0.5), 6))
+        out.append(eye_features(cut_patch(saturation, middle, half), cut_patch(value, middle, half)))
+    return out[0], out[1]
+
+
+def central_gradient(gray: np.ndarray, landmarks: list[tuple[float, float]] | None) -> float:
+    """:func:`polygon_gradient` of the middle of the face: forehead, one cheek, chin, the other; 0 without a mesh."""
+    if landmarks is None:
+        return 0.0
+    h, w = gray.shape
+    return polygon_gradient(gray, [(int(landmarks[i][0] * w), int(landmarks[i][1] * h)) for i in OUTLINE])
+
+
+def identity_crop(picture: np.ndarray, box: tuple[int | None, ...], margin: float = 0.25) -> np.ndarray:
+    """The face with a margin; where there is no box, or nothing of it in the picture, the upper middle."""
+    h, w = picture.shape[:2]
+    left, top, right, bottom = identity_box(*[x or 0 for x in box], w, h, margin)
+    return picture[top:bottom, left:right]
+
+
+def identity_box(x: int, y: int, bw: int, bh: int, width: int, height: int, margin: float = 0.25) -> tuple[int, int, int, int]:
+    """(left, top, right, bottom) of :func:`identity_crop`."""
+    if bw > 0 and bh > 0:
+        left, top, right, bottom = scaled_box((x, y, bw, bh), width, height, margin)
+        if right > left and bottom > top:
+            return left, top, right, bottom
+    cx, cy, r = int(width * 0.5), int(height * 0.35), int(min(width, height) * 0.35)
+    return max(0, cx - r), max(0, cy - r), min(width, cx + r), min(height, cy + r)
+
+
+def identity_box_column(x: Column, y: Column, bw: Column, bh: Column, width: Column, height: Column, margin: float = 0.25) -> Column:
+    """:func:`identity_box` as a struct of x1, y1, x2, y2, inside code generation."""
+    whole = lambda v: v.cast("int")  # noqa: E731 - toward 0
+    mx, my = whole(bw * margin), whole(bh * margin)
+    own = [F.greatest(F.lit(0), x - mx), F.greatest(F.lit(0), y - my), F.least(width, x + bw + mx), F.least(height, y + bh + my)]
+    cx, cy, r = whole(width * 0.5), whole(height * 0.35), whole(F.least(width, height) * 0.35)
+    middle = [F.greatest(F.lit(0), cx - r), F.greatest(F.lit(0), cy - r), F.least(width, cx + r), F.least(height, cy + r)]
+    ok = (bw > 0) & (bh > 0) & (own[2] > own[0]) & (own[3] > own[1])
+    return F.struct(*[F.when(ok, a).otherwise(b).cast("int").alias(n) for n, a, b in zip(("x1", "y1", "x2", "y2"), own, middle)])
+
+
 def eye_features(saturation: np.ndarray, value: np.ndarray) -> float:
     """Share of an eye patch that is white of the eye (pale and bright) or iris (dark)."""
     if not value.size:
@@ -267,6 +329,39 @@ TECHNICAL_FIELDS = "laplacian_score double, tenengrad_score double, brightness_m
 technical_metrics_udf = pixels_udf(technical_metrics, TECHNICAL_FIELDS)
 
 
+def _face_measures(plane: dict[str, np.ndarray], points: list[tuple[float, float]] | None, box: tuple[int, int, int, int]) -> dict[str, float]:
+    left, right = eye_presence(plane["saturation"], plane["value"], points)
+    eyes, mouth = anatomical_sharpness(plane["gray"], points)
+    texture, plasticity = cheek_texture(plane["gray"], points, box, eyes)
+    values = (left, right, eyes, mouth, texture, plasticity, central_gradient(plane["gray"], points))
+    return dict(zip(FACE_FIELDS, values))
+
+
+FACE_FIELDS = ("left_eye_presence_ratio", "right_eye_presence_ratio", "eye_sharpness", "mouth_sharpness", "skin_texture_score", "plasticity_ratio", "face_central_gradient")
+
+
+def face_measures_udf(gray: Column, saturation: Column, value: Column, width: Column, landmarks: Column, box: Column) -> Column:
+    """Eye presence, eye and mouth sharpness, cheek texture, plasticity and central gradient of a picture, by Arrow batches.
+
+    ``gray``, ``saturation`` and ``value`` are flat pixel arrays of rows of ``width``; ``landmarks`` is an array of (x, y) arrays in shares of the picture, null without a
+    mesh; ``box`` the face's (x, y, width, height). The eyes' validity is decided later by ``gate.eyes_valid``. A picture that cannot be read gives nulls and its message in ``error``.
+    """
+
+    @F.pandas_udf(", ".join(f"{f} double" for f in FACE_FIELDS) + ", error string")
+    def run(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for g, s, v, w, points, b in zip(*batch):
+                try:
+                    plane = {n: np.asarray(x, dtype=np.float64).reshape(-1, int(w)) for n, x in (("gray", g), ("saturation", s), ("value", v))}
+                    rows.append({**_face_measures(plane, None if points is None else [(float(x), float(y)) for x, y in points], tuple(map(int, b))), "error": None})
+                except Exception as e:  # noqa: BLE001 - the row keeps the message
+                    rows.append({**dict.fromkeys(FACE_FIELDS), "error": str(e)[:200]})
+            yield pd.DataFrame(rows, columns=[*FACE_FIELDS, "error"])
+
+    return run(gray, saturation, value, width, landmarks, box)
+
+
 def _missing(name: str, need: str):
     def call(*_args, **_kwargs):
         raise ModelRequired(f"{name} needs {need}; join its output as a column instead")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .skew import spread_join
 
 #: Length of the pieces by which a substring join blocks.
@@ -31,23 +32,30 @@ def lookup_join(left: DataFrame, right: DataFrame, key: str, seq: str, defaults:
     return out
 
 
-def substring_join(names: DataFrame, name: str, key_rows: DataFrame, key: str, seq: str, piece: int = PIECE) -> DataFrame:
+def substring_join(names: DataFrame, name: str, key_rows: DataFrame, key: str, seq: str, piece: int = PIECE, least: int | None = None) -> DataFrame:
     """Each row of ``names`` with the first ``key`` (smallest ``seq``) that its ``name`` contains; null without one.
 
-    Every name is cut into its substrings of ``piece`` characters, and keys are joined by their first ``piece`` characters (shorter keys by
-    their own length), so that only names and keys with a common piece are compared. Empty and null keys are skipped; of equal keys the first
-    counts.
+    Every name is cut into its substrings of ``piece`` characters, and each key is looked for under the one of its own pieces that the fewest other keys have (shorter keys
+    under themselves), so that keys with a common beginning or ending do not all meet all names. Empty and null keys are skipped; of equal keys the first
+    counts. A piece or name with a large part of all rows is dealt out over many tasks (``least`` as in :func:`spread_join`).
     """
-    keys = first_wins(key_rows.select(key, seq), key, seq).withColumn("__len", F.least(F.length(key), F.lit(piece))).withColumn("__piece", F.expr(f"substring({key}, 1, {piece})"))
-    lengths = sorted(r[0] for r in keys.select("__len").distinct().limit(piece).collect())
+    keys = cut_lineage(first_wins(key_rows.select(key, seq), key, seq).withColumn("__len", F.least(F.length(key), F.lit(piece))))
+    lengths = sorted(r[0] for r in keys.select("__len").distinct().collect())  # at most ``piece`` of them
+    if not lengths:
+        return names.withColumn(key, F.lit(None).cast("string"))
+    own = keys.select(key, seq, F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(key) - F.col("__len") + 1), lambda i: F.substr(F.col(key), i, F.col("__len"))))).alias("__piece"))
+    own = cut_lineage(own)
+    counts = own.groupBy("__piece").agg(F.count(F.lit(1)).alias("__n"))
+    rarest = spread_join(own, counts, ["__piece"], F.col(key), own.count(), "inner", least).groupBy(key, seq).agg(F.min_by("__piece", F.struct("__n", "__piece")).alias("__piece"))
+    # One row per piece, so that a piece of very many names is joined like any hot key.
+    wanted = rarest.groupBy("__piece").agg(F.collect_list(F.struct(F.col(key).alias("k"), F.col(seq).alias("s"))).alias("__keys"))
     distinct = names.select(name).filter(F.col(name).isNotNull()).distinct()
     cuts = [F.transform(F.sequence(F.lit(1), F.greatest(F.length(name) - (n - 1), F.lit(1))), _cut(name, n)) for n in lengths]
-    if not cuts:
-        return names.withColumn(key, F.lit(None).cast("string"))
-    pieces = distinct.select(name, F.explode(F.array_distinct(F.concat(*cuts) if len(cuts) > 1 else cuts[0])).alias("__piece"))
-    hits = pieces.join(keys.select(key, seq, "__piece"), "__piece").filter(F.col(name).contains(F.col(key)))
-    best = hits.groupBy(name).agg(F.min_by(key, F.col(seq)).alias(key))
-    return names.join(best, name, "left")
+    pieces = cut_lineage(distinct.select(name, F.explode(F.array_distinct(F.concat(*cuts) if len(cuts) > 1 else cuts[0])).alias("__piece")))
+    met = spread_join(pieces, wanted, ["__piece"], F.col(name), pieces.count(), "inner", least)
+    hits = met.select(name, F.explode("__keys").alias("__k")).filter(F.col(name).contains(F.col("__k.k")))
+    best = hits.groupBy(name).agg(F.min_by("__k.k", F.col("__k.s")).alias(key))
+    return spread_join(names, best, [name], F.struct(*names.columns), names.count(), "left", least)
 
 
 def _cut(name: str, n: int):

@@ -15,6 +15,7 @@ from ..params import DedupParams, ExtractParams, SelectionParams
 from ..sources import environment, files, sinks
 from ..sources.tables import table
 from ..streaming.incremental import event_bursts
+from . import pipeline
 from .oracles import oracle_sql
 
 __all__ = ["oracle_sql", "queries"]
@@ -148,8 +149,8 @@ def path_resolution(spark, d):
 
 
 def resolve_sources(spark, d):
-    """Names looked up in two listings, the reports of step 4 and of step 3 of even frames first."""
-    roots = [step3(spark, d).filter("frame_id % 2 = 0").select(posix_path(F.col("filename")).alias("filename"), F.concat(F.lit("a/"), posix_path(F.col("filename"))).alias("path")), step4(spark, d).select(posix_path(F.col("filename")).alias("filename"), F.concat(F.lit("b/"), posix_path(F.col("filename"))).alias("path"))]
+    """Names looked up in two listings, the report of step 3 and then that of step 4."""
+    roots = [step3(spark, d).select(posix_path(F.col("filename")).alias("filename"), F.concat(F.lit("a/"), posix_path(F.col("filename"))).alias("path")), step4(spark, d).select(posix_path(F.col("filename")).alias("filename"), F.concat(F.lit("b/"), posix_path(F.col("filename"))).alias("path"))]
     return files.resolve(step5(spark, d).select("seq", "group_best"), "group_best", roots).select("seq", "source")
 
 
@@ -210,7 +211,7 @@ def ranked_layouts(spark, d):
 
 
 def cluster_review_names(spark, d):
-    return sinks.cluster_review(step5(spark, d).filter("not isnan(coalesce(face_quality_score, 0)) and not isnan(coalesce(eye_sharpness, 0))"))
+    return sinks.cluster_review(step5(spark, d))
 
 
 def representative_names(spark, d):
@@ -337,8 +338,8 @@ def metadata_join_substring(spark, d):
 
 
 def first_report_row(spark, d):
-    """First report row of each reference picture, by base name."""
-    rows = step3(spark, d).select(base_name(F.col("filename")).alias("base"), "seq", "shot_type").filter("base like 'refcol%'")
+    """First report row of each picture, by base name."""
+    rows = step3(spark, d).select(base_name(F.col("filename")).alias("base"), "seq", "shot_type")
     return lookup.first_wins(rows, "base", "seq")
 
 
@@ -357,19 +358,19 @@ def eligible_rows(spark, d):
 
 # Restoration and packaging
 
-def _restoration(spark, d):
-    num = lambda c, default: F.coalesce(F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")), F.lit(default))
-    wanted = F.coalesce((F.col("shot_type") == "FULL_BODY") & ((num("face_min_dimension", 200.0) < 190) | (num("eye_sharpness", 2.0) < 2.0)), F.lit(False))
-    return step7(spark, d).select("seq", "filename", wanted.alias("wanted"), num("identity_similarity_mean", 0.0).alias("before"), num("identity_similarity_max", 0.0).alias("after"), (F.pmod("seq", F.lit(40)) / 100.0 + 0.6).alias("fidelity"))
+def _restored(spark, d):
+    """Step 9 as shipped, over step 7 with similarities and a fidelity made from its columns, NaN as missing."""
+    num = lambda c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double"))
+    rows = step7(spark, d).withColumn("eye_sharpness", num("eye_sharpness")).withColumns({"identity_sim_before": F.coalesce(num("identity_similarity_mean"), F.lit(0.0)), "identity_sim_after": F.coalesce(num("identity_similarity_max"), F.lit(0.0)), "fidelity_to_orig": F.pmod("seq", F.lit(40)) / 100.0 + 0.6})
+    return pipeline.restore_step(rows, keep=("seq",))
 
 
 def restoration_plan(spark, d):
-    return _restoration(spark, d).select("seq", "wanted")
+    return _restored(spark, d).select("seq", (F.col("restoration_status") != "untouched_raw_camera").alias("wanted"))
 
 
 def _decided(spark, d):
-    ok = (F.col("after") >= 0.60) & (F.col("after") - F.col("before") >= -0.08) & (F.col("fidelity") >= 0.82)
-    return _restoration(spark, d).withColumn("restoration_status", F.when(~F.col("wanted"), "untouched_raw_camera").when(ok, "safely_restored").otherwise("rollback_to_original"))
+    return _restored(spark, d).withColumn("wanted", F.col("restoration_status") != "untouched_raw_camera")
 
 
 def rollback_decision(spark, d):
@@ -431,6 +432,23 @@ def pixel_metrics(spark, d):
     return table(spark, d, "embeddings").select("vec_id", kernels.technical_metrics_udf(px, 8).alias("m")).select("vec_id", "m.*")
 
 
+def identity_crops(spark, d):
+    """The crop of each face with its margin, or the upper middle where no box is, from the report's boxes."""
+    c = lambda x: F.coalesce(F.col(x), F.lit(0))
+    rows = step3(spark, d).filter("width is not null and height is not null")
+    return rows.select("seq", kernels.identity_box_column(c("face_bbox_x"), c("face_bbox_y"), c("face_bbox_width"), c("face_bbox_height"), F.col("width"), F.col("height")).alias("b")).select("seq", "b.*")
+
+
+def face_measures(spark, d):
+    """The measures of the face on 64 x 64 pictures in which each embedding is a pattern, with a fixed mesh; as thousandths."""
+    at = {33: (0.25, 0.35), 133: (0.42, 0.35), 263: (0.75, 0.36), 362: (0.58, 0.35), 61: (0.38, 0.72), 291: (0.62, 0.72), 50: (0.3, 0.55), 280: (0.7, 0.55), 10: (0.5, 0.1), 234: (0.1, 0.5), 152: (0.5, 0.9), 454: (0.9, 0.5)}
+    mesh = F.array(*[F.array(*[F.lit(float(x)) for x in at.get(i, (0.5, 0.5))]) for i in range(455)])
+    pixel = lambda scale, shift: F.transform(F.sequence(F.lit(0), F.lit(4095)), lambda i: F.least(F.greatest(F.try_element_at("embedding", ((F.pmod(i * 7 + F.floor(i / 64) * 3, F.lit(64))) + 1).cast("int")).cast("double") * scale + shift, F.lit(0.0)), F.lit(255.0)))
+    m = kernels.face_measures_udf(pixel(400, 128), pixel(300, 60), pixel(500, 110), F.lit(64), mesh, F.array(*map(F.lit, (8, 8, 48, 48))))
+    rows = table(spark, d, "embeddings").select("vec_id", m.alias("m")).select("vec_id", "m.*")
+    return rows.select("vec_id", *[quantised(F.col(f), 3).alias(f"{f}_e3") for f in kernels.FACE_FIELDS], "error")
+
+
 def configuration(spark, d):
     return environment.configuration(spark)
 

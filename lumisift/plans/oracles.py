@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from ..functions import captions
+from ..sources.sinks import guide_rest
 from ..params import BASE_THRESHOLDS, POSE_MAX, POSE_MIN, POSE_MODIFIERS, SHOT_MAX, SHOT_MIN
 
 
@@ -218,7 +219,7 @@ def oracle_sql() -> dict[str, str]:
         "scene_parse": f"select seq, {_scene('filename')} as scene, {_index('filename')} as idx from step4_dataset_report",
         "path_resolution": f"select seq, case when {_path('group_best')} <> '' and not list_has_any(string_split({_path('group_best')}, '/'), ['', '.', '..']) and not regexp_matches({_path('group_best')}, '^[A-Za-z]:') then {_path('group_best')} end as safe, lower(regexp_extract({_base('group_best')}, '.\\.([^.]*)$', 1)) as ext from step5_dataset_report",
         "resolve_sources": f"""with s as (select seq, case when {_path('group_best')} <> '' and not list_has_any(string_split({_path('group_best')}, '/'), ['', '.', '..']) then {_path('group_best')} end as safe from step5_dataset_report),
-            a as (select distinct {_path('filename')} as f from step3_dataset_report where frame_id % 2 = 0), b as (select distinct {_path('filename')} as f from step4_dataset_report)
+            a as (select distinct {_path('filename')} as f from step3_dataset_report), b as (select distinct {_path('filename')} as f from step4_dataset_report)
             select seq, coalesce('a/' || a.f, 'b/' || b.f) as source from s left join a on a.f = safe left join b on b.f = safe""",
         "pose_buckets": """with p as (select seq, pose_yaw as y, case when pose_pitch > 90 then 180 - pose_pitch when pose_pitch < -90 then -180 - pose_pitch else pose_pitch end as p, pose_roll as r from step4_dataset_report)
             select seq, case when y is null or p is null or r is null or isnan(y) or isnan(p) or isnan(r) then null when abs(p) > 35 or abs(r) > 35 then 'EXTREME_POSE' when p > 20 then 'LOOKING_DOWN' when p < -20 then 'LOOKING_UP' when abs(y) <= 15 then 'FRONT'
@@ -234,8 +235,8 @@ def oracle_sql() -> dict[str, str]:
         "candidate_names": f"{_CAND} select seq, name from cand",
         "packaged_names": f"{_CAND}, n as (select seq, width, row_number() over (order by name, seq) as idx from cand) select seq, printf('character_%02d.png', idx) as final_filename from n where width is not null",
         "ranked_layouts": f"{_CAND} select filename as source, unnest({folders}) || '/' || name as target from cand",
-        "cluster_review_names": f"""select filename as source, duplicate_group || '/' || printf('%s_q%.1f_eye%.1f_%s', case when duplicate_status = 'representative' then 'WINNER' else 'DUP' end, floor(coalesce(face_quality_score, 0) * 10 + 0.5) / 10, floor(coalesce(eye_sharpness, 0) * 10 + 0.5) / 10, {_base('filename')}) as target
-            from step5_dataset_report where group_size > 1 and not isnan(coalesce(face_quality_score, 0)) and not isnan(coalesce(eye_sharpness, 0))""",
+        "cluster_review_names": f"""select filename as source, duplicate_group || '/' || printf('%s_q%.1f_eye%.1f_%s', case when duplicate_status = 'representative' then 'WINNER' else 'DUP' end, floor(coalesce(fq, 0) * 10 + 0.5) / 10, floor(coalesce(ey, 0) * 10 + 0.5) / 10, {_base('filename')}) as target
+            from (select *, case when not isnan(face_quality_score) then face_quality_score end as fq, case when not isnan(eye_sharpness) then eye_sharpness end as ey from step5_dataset_report) where group_size > 1""",
         "representative_names": f"select filename as source, 'representatives/' || coalesce(shot_type, 'UNKNOWN') || '_' || coalesce(pose_bucket, 'UNKNOWN') || '_' || {_base('filename')} as target from step5_dataset_report where duplicate_status in ('representative', 'unique')",
         "name_classes": f"{_CAND} select seq, {_SHOT_NAME} as shot_type, {_POSE_NAME} as pose_bucket from cand",
         "review_ratio": f"""{_CAND}, k as (select {_SHOT_NAME} as shot_type, count(*) as n from cand group by 1), t(shot_type, target_pct) as (values ('CLOSE_UP', 18::double), ('UPPER_BODY', 62::double), ('FULL_BODY', 20::double)),
@@ -262,7 +263,7 @@ def oracle_sql() -> dict[str, str]:
             j as (select coalesce(k.shot_type, t.shot_type) as shot_type, coalesce(n, 0) as n, coalesce(least, 0) as least, coalesce(most, 999) as most from k full join t on k.shot_type = t.shot_type) select *, {_share('n', 'sum(n) over ()')} as share_e4 from j""",
         "quota_selection": _selection(),
         "training_guide": f"""{_CAND} select printf('# Training set of %s\n\n## Contents\n- Pictures: %d\n- Close-ups: %d, upper body: %d, full body: %d\n- Sides are multiples of %d\n\n## Captions\nEvery caption names clothing, hair, expression, background and light, so that only the subject binds to the trigger word.\n',
-            'character', count(*), count(*) filter (shot_type = 'CLOSE_UP'), count(*) filter (shot_type = 'UPPER_BODY'), count(*) filter (shot_type = 'FULL_BODY'), 16) as value from cand""",
+            'character', count(*), count(*) filter (shot_type = 'CLOSE_UP'), count(*) filter (shot_type = 'UPPER_BODY'), count(*) filter (shot_type = 'FULL_BODY'), 16) || '{guide_rest("character")}' as value from cand""",
         "selected_scenes": "select count(distinct scene_group) as scenes from step7_dataset_report where candidate_selected",
         "scene_burst_cap": "select distinct scene_group, case when lower(scene_group) like '%reference%' or lower(scene_group) like '%identity%' then 15 else 8 end as cap from step4_dataset_report",
         "upsert_merge": """with o as (select *, row_number() over (partition by filename order by seq desc) rn from step3_dataset_report where run_id < 500)
@@ -271,7 +272,7 @@ def oracle_sql() -> dict[str, str]:
         "metadata_join_basename": f"""with r as (select {_base('filename')} as base, max(seq) as report_seq, arg_max(coalesce(shot_type, '~'), seq) as shot_type from step4_dataset_report group by 1)
             select s.seq, r.report_seq, case when r.shot_type is null or r.shot_type = '~' then 'UPPER_BODY' else r.shot_type end as shot_type from step5_dataset_report s left join r on r.base = {_base('s.group_best')}""",
         "metadata_join_substring": "select s.seq, (select arg_min(k.output_folder, k.video) from step1_extract_report k where k.output_folder <> '' and contains(s.filename, k.output_folder)) as output_folder from step4_dataset_report s",
-        "first_report_row": f"select base, seq, shot_type from (select {_base('filename')} as base, seq, shot_type, row_number() over (partition by {_base('filename')} order by seq) rn from step3_dataset_report) where rn = 1 and base like 'refcol%'",
+        "first_report_row": f"select base, seq, shot_type from (select {_base('filename')} as base, seq, shot_type, row_number() over (partition by {_base('filename')} order by seq) rn from step3_dataset_report) where rn = 1 and base <> ''",
         "semi_anti_counts": "with c as (select distinct frame_id from step7_dataset_report where candidate_selected) select 'semi' as side, count(*) as n from step3_dataset_report where frame_id in (from c) union all select 'anti', count(*) from step3_dataset_report where frame_id not in (from c)",
         "eligible_rows": "select seq from step7_dataset_report where face_eligible and duplicate_status in ('representative', 'unique') and identity_passed",
         "restoration_plan": f"{_REST} select seq, wanted from r",
@@ -281,6 +282,17 @@ def oracle_sql() -> dict[str, str]:
         "caption_tags": f"{_CAND} select seq, {tags} as tags from cand",
         "caption_files": f"{_CAND} select 'character_' || seq || '.txt' as target, {caption} as text from cand",
         "metadata_jsonl": f"{_CAND} select to_json({{image: 'character_' || seq || '.png', text: {caption}, tags: {tags}, width: {align('width')}, height: {align('height')}, shot_type: shot_type, pose: pose_bucket, restoration: 'untouched_raw_camera'}})::varchar as value from cand where width is not null and height is not null",
+        "identity_crops": """with b as (select seq, width as w, height as h, coalesce(face_bbox_x, 0) as x, coalesce(face_bbox_y, 0) as y, coalesce(face_bbox_width, 0) as bw, coalesce(face_bbox_height, 0) as bh from step3_dataset_report where width is not null and height is not null),
+            o as (select *, greatest(0, x - trunc(bw * 0.25::double)::int) as l, greatest(0, y - trunc(bh * 0.25::double)::int) as t, least(w, x + bw + trunc(bw * 0.25::double)::int) as r, least(h, y + bh + trunc(bh * 0.25::double)::int) as e,
+              trunc(w * 0.5::double)::int as cx, trunc(h * 0.35::double)::int as cy, trunc(least(w, h) * 0.35::double)::int as k from b),
+            f as (select *, bw > 0 and bh > 0 and r > l and e > t as ok from o)
+            select seq, case when ok then l else greatest(0, cx - k) end as x1, case when ok then t else greatest(0, cy - k) end as y1, case when ok then r else least(w, cx + k) end as x2, case when ok then e else least(h, cy + k) end as y2 from f""",
+        "pixel_metrics": """with px as (select vec_id, list_transform(embedding, lambda x: least(greatest(x::double * 400 + 128, 0.0), 255.0)) as p from embeddings),
+            g as (select vec_id, p, i // 8 as r, i % 8 as c, case when i // 8 = 0 then 1 else i // 8 - 1 end as u, case when i // 8 = 7 then 6 else i // 8 + 1 end as d, case when i % 8 = 0 then 1 else i % 8 - 1 end as a, case when i % 8 = 7 then 6 else i % 8 + 1 end as b from px, range(64) t(i)),
+            m as (select vec_id, p[r * 8 + c + 1] as v, p[u * 8 + c + 1] + p[d * 8 + c + 1] + p[r * 8 + a + 1] + p[r * 8 + b + 1] - 4 * p[r * 8 + c + 1] as l,
+              (p[u * 8 + b + 1] - p[u * 8 + a + 1]) + 2 * (p[r * 8 + b + 1] - p[r * 8 + a + 1]) + (p[d * 8 + b + 1] - p[d * 8 + a + 1]) as dx, (p[d * 8 + a + 1] - p[u * 8 + a + 1]) + 2 * (p[d * 8 + c + 1] - p[u * 8 + c + 1]) + (p[d * 8 + b + 1] - p[u * 8 + b + 1]) as dy from g)
+            select vec_id, round_even(var_pop(l), 3) as laplacian_score, round_even(avg(dx * dx + dy * dy), 3) as tenengrad_score, round_even(avg(v), 3) as brightness_mean, round_even(stddev_pop(v), 3) as brightness_std, round_even(avg((v < 40)::int), 3) as shadow_pixel_ratio, round_even(avg((v > 235)::int), 3) as highlight_pixel_ratio,
+              round_even(quantile_cont(v, 0.9) - quantile_cont(v, 0.1), 3) as contrast_p90_p10, null::varchar as error from m group by vec_id""",
         "safe_parse": "select event_id, try_cast(json_extract_string(props, '$.k') as int) as k, case when try_cast(event_type as int) is null then 'not a number: ' || event_type end as error from events",
         "bursts": f"""with g as (select *, case when ts - lag(ts) over w < interval 10 minutes then 0 else 1 end as new from events window w as (partition by user_id order by ts)), s as (select *, sum(new) over (partition by user_id order by ts) as b from g)
             select user_id, min(ts) as burst_start, count(*) as events, {_e('sum(value)', 2)} as total_e2 from s group by user_id, b""",

@@ -98,14 +98,14 @@ def apply_review(selected: DataFrame, rejected: DataFrame) -> DataFrame:
     return lookup.anti(lookup.eligible(selected, "candidate_selected"), rejected, "filename")
 
 
-def restore_step(selected: DataFrame, p: RestorationParams = RestorationParams(), model_loaded: bool = True) -> DataFrame:
-    """Decision per picture from the measured similarities before and after and the fidelity; pictures outside the rule stay as they are."""
+def restore_step(selected: DataFrame, p: RestorationParams = RestorationParams(), model_loaded: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Decision per picture from the measured similarities before and after and the fidelity; pictures outside the rule stay as they are. Columns to ``keep`` come first."""
     wanted = F.coalesce((F.col("shot_type") == "FULL_BODY") & ((F.coalesce("face_min_dimension", F.lit(200)) < p.max_dimension) | (F.coalesce("eye_sharpness", F.lit(2.0)) < p.max_eye_sharpness)), F.lit(False)) & F.lit(model_loaded)
     rows = selected.withColumn("delta_identity", F.col("identity_sim_after") - F.col("identity_sim_before"))
     safe = F.coalesce((F.col("identity_sim_after") >= p.min_similarity) & (F.col("delta_identity") >= -p.max_loss) & (F.col("fidelity_to_orig") >= p.min_fidelity), F.lit(False))
     rows = rows.withColumn("restoration_status", F.when(~wanted, "untouched_raw_camera").when(safe, "safely_restored").otherwise("rollback_to_original"))
     rows = rows.withColumn("restoration_reason", F.when(~wanted, "not a candidate").when(safe, F.format_string("delta %+.4f", F.col("delta_identity"))).otherwise("identity or fidelity outside the limits"))
-    return _stamp(rows, 9).select(*[f.name for f in struct(STEP9).fields])
+    return _stamp(rows, 9).select(*keep, *[f.name for f in struct(STEP9).fields])
 
 
 def package_step(pictures: DataFrame, report: DataFrame, restored: DataFrame, p: PackagingParams = PackagingParams()) -> DataFrame:

@@ -17,6 +17,7 @@ def get_session(app: str = "lumisift", cores: str | int = "*", shuffle_partition
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("LUMISIFT_DRIVER_MEMORY", "8g"))
@@ -51,7 +52,7 @@ def cut_lineage(df):
     """Write ``df`` to the shared checkpoint folder and continue from there.
 
     Used where a result is read several times or a loop would grow its plan; the files survive the
-    loss of executors.
+    loss of executors. Spark removes them once nothing refers to them where ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set, as in :func:`get_session`.
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)

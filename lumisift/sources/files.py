@@ -7,7 +7,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.names import pose_in_name, safe_path, shot_in_name, suffix
+from ..functions.names import pose_in_name, safe_path, shot_in_name, stem, suffix
 from ..functions.spelling import base_name
 from ..params import ExtractParams
 

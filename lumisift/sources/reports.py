@@ -9,13 +9,13 @@ from pyspark.sql import types as T
 from ..schemas import report_schema
 
 
-def read_report(spark: SparkSession, path: str, step: int | None = None, schema: T.StructType | None = None) -> DataFrame:
+def read_report(spark: SparkSession, path: str, step: int | None = None, schema: T.StructType | None = None, line_breaks: bool = True) -> DataFrame:
     """A UTF-8 report with header, quoted line breaks and a byte order mark; empty fields are null.
 
     Columns named in the schema are cast (a value that cannot be cast becomes null), ``;`` lists become arrays; other columns
-    stay strings. ``filename`` must be there.
+    stay strings. ``filename`` must be there. A file is one task where fields may hold ``line_breaks``; without them large files are split.
     """
-    raw = spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("encoding", "UTF-8").option("nullValue", "").csv(path)
+    raw = spark.read.option("header", True).option("multiLine", line_breaks).option("escape", '"').option("encoding", "UTF-8").option("nullValue", "").csv(path)
     raw = raw.toDF(*[c.lstrip("﻿") for c in raw.columns])
     require(raw, ["filename"])
     wanted = {f.name: f.dataType for f in (schema or report_schema(step or 7)).fields}

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import shutil
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -83,11 +85,56 @@ def write_json_lines(rows: DataFrame, path: str) -> None:
     metadata_json(rows).write.mode("overwrite").text(path)
 
 
+# Recommended settings of a training run and templates of prompts, as the guide lists them.
+TRAINING = (
+    ("Network", "LoRA, linear and attention layers"), ("Rank", "16 or 32"), ("Alpha", "16"), ("Learning rate", "1e-4 to 2e-4, cosine"), ("Batch size", "1, or 2 accumulated"), ("Resolution", "up to 1024 or 1536, aspect-ratio buckets"),
+    ("Steps", "1,500 to 2,200"), ("Text encoder rate", "0.0, or 5e-5 for CLIP only"),
+)
+PROMPTS = (
+    ("Portrait", "upper body portrait, gentle smile, elegant dress, hotel lobby, cinematic light"),
+    ("Outdoors", "full body shot, walking along a sunny street, casual clothes, natural skin texture"),
+    ("Close-up", "extreme close-up portrait, looking into the camera, soft studio light, natural skin pores"),
+)
+
+
 def training_guide(rows: DataFrame, p: PackagingParams = PackagingParams()) -> DataFrame:
-    """A one-row overview of the packaged set in Markdown: sizes, framing, caption rules."""
+    """A one-row guide to the packaged set in Markdown: contents, caption rules, settings of a training run, prompts."""
     one = rows.agg(F.count(F.lit(1)).alias("n"), *[F.count_if(F.col("shot_type") == s).alias(s) for s in ("CLOSE_UP", "UPPER_BODY", "FULL_BODY")])
     text = "# Training set of %s\n\n## Contents\n- Pictures: %d\n- Close-ups: %d, upper body: %d, full body: %d\n- Sides are multiples of %d\n\n## Captions\nEvery caption names clothing, hair, expression, background and light, so that only the subject binds to the trigger word.\n"
-    return one.select(F.format_string(text, F.lit(p.trigger), "n", "CLOSE_UP", "UPPER_BODY", "FULL_BODY", F.lit(p.multiple)).alias("value"))
+    return one.select(F.concat(F.format_string(text, F.lit(p.trigger), "n", "CLOSE_UP", "UPPER_BODY", "FULL_BODY", F.lit(p.multiple)), F.lit(guide_rest(p.trigger))).alias("value"))
+
+
+def guide_rest(trigger: str) -> str:
+    """The parts of the guide that do not depend on the pictures."""
+    settings = "\n## Training\n| Setting | Value |\n|---|---|\n" + "".join(f"| {k} | {v} |\n" for k, v in TRAINING)
+    return settings + "\n## Prompts\n" + "".join(f"- {k}: photo of {trigger}, a young woman, {v}\n" for k, v in PROMPTS)
+
+
+def write_files(rows: DataFrame, folder: str, name: str, content: str) -> None:
+    """One file per row below a folder that all executors share; rows without content are passed over."""
+
+    def each(part):
+        for row in part:
+            if row[content] is not None:
+                target = Path(folder) / row[name]
+                target.parent.mkdir(parents=True, exist_ok=True)
+                data = row[content]
+                target.write_bytes(data.encode() if isinstance(data, str) else bytes(data))
+
+    rows.select(name, content).foreachPartition(each)
+
+
+def copy_files(manifest: DataFrame, source_root: str, target_root: str) -> None:
+    """Copy what a manifest (``source``, ``target``) lists from one shared folder to another; a source that is not there is passed over."""
+
+    def each(part):
+        for row in part:
+            source, target = Path(source_root) / row["source"], Path(target_root) / row["target"]
+            if source.is_file():
+                target.parent.mkdir(parents=True, exist_ok=True)
+                shutil.copy2(source, target)
+
+    manifest.select("source", "target").foreachPartition(each)
 
 
 def write_crops(rows: DataFrame, crop: Callable, writer: Callable) -> None:
