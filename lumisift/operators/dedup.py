@@ -115,7 +115,6 @@ def candidates(classes: DataFrame, p: DedupParams) -> tuple[DataFrame, DataFrame
         raise ValueError("angles and time_window must not be negative")
     # Two hashes of scene and shot stand for the strings; together they are as good as unique.
     keyed = classes.filter("yaw is not null and pitch is not null").select(F.xxhash64("scene", "shot").alias("block"), F.hash("shot", "scene").alias("check"), "rep", F.col("t").cast("bigint").alias("t"), "yaw", "pitch", "gh", "fh")
-    keyed = cut_lineage(keyed)
     distances = _distances(p)
 
     def cells(kind: str, reach: float, steps: int | None) -> Column:

@@ -39,23 +39,26 @@ def substring_join(names: DataFrame, name: str, key_rows: DataFrame, key: str, s
     under themselves), so that keys with a common beginning or ending do not all meet all names. Empty and null keys are skipped; of equal keys the first
     counts. A piece or name with a large part of all rows is dealt out over many tasks (``least`` as in :func:`spread_join`).
     """
-    keys = cut_lineage(first_wins(key_rows.select(key, seq), key, seq).withColumn("__len", F.least(F.length(key), F.lit(piece))))
-    lengths = sorted(r[0] for r in keys.select("__len").distinct().collect())  # at most ``piece`` of them
-    if not lengths:
-        return names.withColumn(key, F.lit(None).cast("string"))
+    keys = first_wins(key_rows.select(key, seq), key, seq).withColumn("__len", F.least(F.length(key), F.lit(piece)))
     own = keys.select(key, seq, F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(key) - F.col("__len") + 1), lambda i: F.substr(F.col(key), i, F.col("__len"))))).alias("__piece"))
     own = cut_lineage(own)
+    by_length = {r[0]: r[1] for r in own.groupBy(F.length("__piece")).count().collect()}  # at most ``piece`` lengths
+    lengths = sorted(by_length)
+    if not lengths:
+        return names.withColumn(key, F.lit(None).cast("string"))
     counts = own.groupBy("__piece").agg(F.count(F.lit(1)).alias("__n"))
-    rarest = spread_join(own, counts, ["__piece"], F.col(key), own.count(), "inner", least).groupBy(key, seq).agg(F.min_by("__piece", F.struct("__n", "__piece")).alias("__piece"))
+    rarest = spread_join(own, counts, ["__piece"], F.col(key), sum(by_length.values()), "inner", least).groupBy(key, seq).agg(F.min_by("__piece", F.struct("__n", "__piece")).alias("__piece"))
     # One row per piece, so that a piece of very many names is joined like any hot key.
     wanted = rarest.groupBy("__piece").agg(F.collect_list(F.struct(F.col(key).alias("k"), F.col(seq).alias("s"))).alias("__keys"))
     distinct = names.select(name).filter(F.col(name).isNotNull()).distinct()
     cuts = [F.transform(F.sequence(F.lit(1), F.greatest(F.length(name) - (n - 1), F.lit(1))), _cut(name, n)) for n in lengths]
-    pieces = cut_lineage(distinct.select(name, F.explode(F.array_distinct(F.concat(*cuts) if len(cuts) > 1 else cuts[0])).alias("__piece")))
-    met = spread_join(pieces, wanted, ["__piece"], F.col(name), pieces.count(), "inner", least)
+    pieces = distinct.select(name, F.explode(F.array_distinct(F.concat(*cuts) if len(cuts) > 1 else cuts[0])).alias("__piece"))
+    # Every name has fewer pieces than this.
+    most, rows = names.agg(F.sum(F.length(name)), F.count(F.lit(1))).first()
+    met = spread_join(pieces, wanted, ["__piece"], F.col(name), (most or 0) * len(lengths), "inner", least)
     hits = met.select(name, F.explode("__keys").alias("__k")).filter(F.col(name).contains(F.col("__k.k")))
     best = hits.groupBy(name).agg(F.min_by("__k.k", F.col("__k.s")).alias(key))
-    return spread_join(names, best, [name], F.struct(*names.columns), names.count(), "left", least)
+    return spread_join(names, best, [name], F.struct(*names.columns), rows, "left", least)
 
 
 def _cut(name: str, n: int):
