@@ -148,13 +148,13 @@ def realise(sizes: DataFrame, plan: DataFrame, seed: int = 7) -> DataFrame:
 
 
 def mix_report(plan: DataFrame, drawn: DataFrame) -> DataFrame:
-    """Target and reached tokens and shares per mix and source; ``unmet`` marks a source that was taken whole, as often as it may be, and stays below its target."""
+    """Target and reached tokens and shares per mix and source; ``unmet`` marks a source that was taken whole, as often as it may be, and stays below its target. In a mix that reaches nothing the shares are 0."""
     got = drawn.groupBy("mix_id", "source").agg(F.sum(F.col("n_tokens") * F.col("copies")).alias("reached_tokens"), F.max("copies").alias("most_copies"), F.count(F.lit(1)).alias("docs"))
     rows = plan.join(got, ["mix_id", "source"], "left")
     whole = Window.partitionBy("mix_id")
     reached = F.coalesce(F.col("reached_tokens"), F.lit(0))
     used_up = reached >= F.col("available_tokens") * F.greatest(F.coalesce("max_repeats", F.lit(0)), F.lit(0))
     return rows.select(
-        "mix_id", "source", "target_weight", "target_tokens", "available_tokens", "max_repeats", "short", "budget", "exponent", reached.alias("reached_tokens"), (reached / F.sum(reached).over(whole)).alias("reached_share"),
+        "mix_id", "source", "target_weight", "target_tokens", "available_tokens", "max_repeats", "short", "budget", "exponent", reached.alias("reached_tokens"), (reached / F.greatest(F.sum(reached).over(whole), F.lit(1))).alias("reached_share"),
         F.coalesce("most_copies", F.lit(0)).alias("most_copies"), (used_up & (reached < F.col("target_tokens"))).alias("unmet"),
     )
