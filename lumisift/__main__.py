@@ -95,7 +95,7 @@ def _read(spark: SparkSession, path: str, args: argparse.Namespace) -> DataFrame
 
 
 def _write(rows: DataFrame, path: str, args: argparse.Namespace, order: list[str] | None = None) -> None:
-    reports.write_report(rows, path, [c for c in rows.columns if c != "seq"], order, single_file=not args.many_files)
+    reports.write_or_beside(rows, path, [c for c in rows.columns if c != "seq"], order, single_file=not args.many_files)
 
 
 def _step(spark: SparkSession, args: argparse.Namespace, name: str, report: DataFrame, output: str) -> DataFrame:

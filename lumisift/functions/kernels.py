@@ -329,6 +329,92 @@ TECHNICAL_FIELDS = "laplacian_score double, tenengrad_score double, brightness_m
 technical_metrics_udf = pixels_udf(technical_metrics, TECHNICAL_FIELDS)
 
 
+# Numbers of the face-mesh points of a head pose (nose, chin, outer eye corners, mouth corners) and where they lie on a model head.
+POSE_POINTS = (1, 152, 33, 263, 61, 291)
+MODEL_HEAD = ((0.0, 0.0, 0.0), (0.0, -330.0, -65.0), (-225.0, 170.0, -135.0), (225.0, 170.0, -135.0), (-150.0, -150.0, -125.0), (150.0, -150.0, -125.0))
+
+
+def _turn(v: np.ndarray) -> np.ndarray:
+    """Rotation matrix of an axis times its angle."""
+    angle = np.linalg.norm(v)
+    if angle < 1e-12:
+        return np.eye(3)
+    x, y, z = v / angle
+    k = np.array([[0, -z, y], [z, 0, -x], [-y, x, 0]])
+    return np.eye(3) + math.sin(angle) * k + (1 - math.cos(angle)) * k @ k
+
+
+def _solve_view(model: np.ndarray, seen: np.ndarray, rounds: int = 50) -> tuple[np.ndarray, np.ndarray] | None:
+    """Rotation and shift under which a camera of focal length 1 sees the model's points at ``seen``: a linear solution, then damped least squares."""
+    scale = np.abs(model).max()
+    full = np.c_[model / scale, np.ones(len(model))]
+    rows = np.zeros((2 * len(model), 12))
+    rows[0::2, 0:4], rows[0::2, 8:12] = full, -seen[:, :1] * full
+    rows[1::2, 4:8], rows[1::2, 8:12] = full, -seen[:, 1:] * full
+    p = np.linalg.svd(rows)[2][-1].reshape(3, 4)
+    u, size, vt = np.linalg.svd(p[:, :3])
+    if size.mean() < 1e-12:
+        return None
+    p = p * (np.sign(np.linalg.det(p[:, :3])) or 1.0) / size.mean()
+    u, _, vt = np.linalg.svd(p[:, :3])
+    r, t = u @ np.diag([1.0, 1.0, np.linalg.det(u @ vt)]) @ vt, p[:, 3] * scale
+
+    def miss(r: np.ndarray, t: np.ndarray) -> np.ndarray:
+        q = model @ r.T + t
+        return (q[:, :2] / q[:, 2:] - seen).ravel()
+
+    damp, now = 1e-3, miss(r, t)
+    for _ in range(rounds):
+        steps = np.r_[np.full(3, 1e-6), np.full(3, scale * 1e-6)]
+        jacobian = np.stack([(miss(_turn(d[:3]) @ r, t + d[3:]) - now) / d.sum() for d in np.diag(steps)], axis=1)
+        normal = jacobian.T @ jacobian
+        step = np.linalg.lstsq(normal + damp * np.diag(np.diag(normal)), -jacobian.T @ now, rcond=None)[0]
+        tried = (_turn(step[:3]) @ r, t + step[3:])
+        then = miss(*tried)
+        if then @ then < now @ now:
+            (r, t), damp, close = tried, damp / 10, now @ now - then @ then < 1e-18
+            now = then
+            if close:
+                break
+        else:
+            damp *= 10
+            if damp > 1e6:
+                break
+    return r, t
+
+
+def head_pose(landmarks: list[tuple[float, float]] | None, width: int, height: int) -> tuple[float, float, float] | None:
+    """Yaw, pitch (folded into [-90, 90]) and roll in degrees from face-mesh points in shares of the picture, for a camera as long as the picture is wide; None without a face or solution."""
+    if landmarks is None:
+        return None
+    at = np.array([(landmarks[i][0] * width, landmarks[i][1] * height) for i in POSE_POINTS])
+    found = _solve_view(np.array(MODEL_HEAD), (at - [width / 2, height / 2]) / width) if np.isfinite(at).all() else None
+    if found is None or not np.isfinite(found[0]).all():
+        return None
+    r = found[0]
+    pitch = math.degrees(math.atan2(r[2, 1], r[2, 2]))
+    yaw, roll = math.degrees(math.atan2(-r[2, 0], math.hypot(r[2, 1], r[2, 2]))), math.degrees(math.atan2(r[1, 0], r[0, 0]))
+    return yaw, (180 - pitch if pitch > 90 else -180 - pitch if pitch < -90 else pitch), roll
+
+
+def head_pose_udf(landmarks: Column, width: Column, height: Column) -> Column:
+    """:func:`head_pose` of arrays of (x, y) arrays as a struct of pose_yaw, pose_pitch, pose_roll and pose_error, by Arrow batches."""
+
+    @F.pandas_udf("pose_yaw double, pose_pitch double, pose_roll double, pose_error string")
+    def run(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for points, w, h in zip(*batch):
+                try:
+                    got = head_pose(None if points is None else [(float(x), float(y)) for x, y in points], int(w), int(h))
+                    rows.append((*got, None) if got else (None, None, None, "no face"))
+                except Exception as e:  # noqa: BLE001 - the row keeps the message
+                    rows.append((None, None, None, str(e)[:200]))
+            yield pd.DataFrame(rows, columns=["pose_yaw", "pose_pitch", "pose_roll", "pose_error"])
+
+    return run(landmarks, width, height)
+
+
 def _face_measures(plane: dict[str, np.ndarray], points: list[tuple[float, float]] | None, box: tuple[int, int, int, int]) -> dict[str, float]:
     left, right = eye_presence(plane["saturation"], plane["value"], points)
     eyes, mouth = anatomical_sharpness(plane["gray"], points)
@@ -371,7 +457,6 @@ def _missing(name: str, need: str):
 
 decode_image = _missing("decode_image", "an image decoder")
 face_landmarks = _missing("face_landmarks", "a face mesh model")
-head_pose = _missing("head_pose", "a perspective solver and landmarks")
 face_embedding = _missing("face_embedding", "a vision transformer")
 clip_attributes = _missing("clip_attributes", "an image-text model")
 restore_face = _missing("restore_face", "a face restoration model")

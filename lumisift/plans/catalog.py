@@ -449,6 +449,27 @@ def face_measures(spark, d):
     return rows.select("vec_id", *[quantised(F.col(f), 3).alias(f"{f}_e3") for f in kernels.FACE_FIELDS], "error")
 
 
+def head_pose(spark, d):
+    """The angles of step 4 found again from face-mesh points: a model head is turned by them, seen by a camera, and its pose solved; angles that turn the face away are no case."""
+    yaw, pitch, roll = (F.radians(F.col(c)) for c in ("pose_yaw", "pose_pitch", "pose_roll"))
+    sx, sy, sz, cx, cy, cz = *(F.sin(a) for a in (pitch, yaw, roll)), *(F.cos(a) for a in (pitch, yaw, roll))
+    turn = ((cz * cy, cz * sy * sx - sz * cx, cz * sy * cx + sz * sx), (sz * cy, sz * sy * sx + cz * cx, sz * sy * cx - cz * sx), (-sy, cy * sx, cy * cx))
+    seen = {}
+    for i, point in zip(kernels.POSE_POINTS, kernels.MODEL_HEAD):
+        x, y, z = (sum((r * v for r, v in zip(row, point)), F.lit(shift)) for row, shift in zip(turn, (20.0, -30.0, 2000.0)))
+        seen[i] = F.array(x / z + 0.5, y / z + 0.5)
+    mesh = F.array(*[seen.get(i, F.array(F.lit(0.5), F.lit(0.5))) for i in range(max(seen) + 1)])
+    rows = step4(spark, d).filter("abs(pose_yaw) <= 85 and abs(pose_pitch) <= 85 and abs(pose_roll) <= 175")
+    got = rows.select("seq", kernels.head_pose_udf(mesh, F.lit(1000), F.lit(1000)).alias("p"))
+    return got.select("seq", *[quantised(F.col(f"p.{c}") + 1e-4, 2).alias(f"{c}_e2") for c in ("pose_yaw", "pose_pitch", "pose_roll")], "p.pose_error")
+
+
+def clip_labels(spark, d):
+    """The phrases of the greatest scores, taken from the leading elements of each embedding."""
+    scores = {a: F.slice("embedding", 1 + 8 * i, len(v)) for i, (a, v) in enumerate(captions.PROMPTS.items())}
+    return table(spark, d, "embeddings").select("vec_id", *[v.alias(a) for a, v in captions.best_attributes(scores).items()])
+
+
 def configuration(spark, d):
     return environment.configuration(spark)
 

@@ -293,6 +293,9 @@ def oracle_sql() -> dict[str, str]:
               (p[u * 8 + b + 1] - p[u * 8 + a + 1]) + 2 * (p[r * 8 + b + 1] - p[r * 8 + a + 1]) + (p[d * 8 + b + 1] - p[d * 8 + a + 1]) as dx, (p[d * 8 + a + 1] - p[u * 8 + a + 1]) + 2 * (p[d * 8 + c + 1] - p[u * 8 + c + 1]) + (p[d * 8 + b + 1] - p[u * 8 + b + 1]) as dy from g)
             select vec_id, round_even(var_pop(l), 3) as laplacian_score, round_even(avg(dx * dx + dy * dy), 3) as tenengrad_score, round_even(avg(v), 3) as brightness_mean, round_even(stddev_pop(v), 3) as brightness_std, round_even(avg((v < 40)::int), 3) as shadow_pixel_ratio, round_even(avg((v > 235)::int), 3) as highlight_pixel_ratio,
               round_even(quantile_cont(v, 0.9) - quantile_cont(v, 0.1), 3) as contrast_p90_p10, null::varchar as error from m group by vec_id""",
+        "head_pose": f"""select seq, {', '.join(f"{_e(f'{c} + 1e-4::double', 2)} as {c}_e2" for c in ('pose_yaw', 'pose_pitch', 'pose_roll'))}, null::varchar as pose_error
+            from step4_dataset_report where abs(pose_yaw) <= 85 and abs(pose_pitch) <= 85 and abs(pose_roll) <= 175""",
+        "clip_labels": f"""select vec_id, {', '.join(f"[{', '.join(repr(x) for x in v)}][list_position(embedding[{1 + 8 * i}:{8 * i + len(v)}], list_max(embedding[{1 + 8 * i}:{8 * i + len(v)}]))] as {a}" for i, (a, v) in enumerate(captions.PROMPTS.items()))} from embeddings""",
         "safe_parse": "select event_id, try_cast(json_extract_string(props, '$.k') as int) as k, case when try_cast(event_type as int) is null then 'not a number: ' || event_type end as error from events",
         "bursts": f"""with g as (select *, case when ts - lag(ts) over w < interval 10 minutes then 0 else 1 end as new from events window w as (partition by user_id order by ts)), s as (select *, sum(new) over (partition by user_id order by ts) as b from g)
             select user_id, min(ts) as burst_start, count(*) as events, {_e('sum(value)', 2)} as total_e2 from s group by user_id, b""",

@@ -6,6 +6,7 @@ import os
 import platform
 import shutil
 from importlib import metadata
+from importlib.util import find_spec
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +30,10 @@ def healthcheck(spark: SparkSession, folders: tuple[str, ...] = ()) -> DataFrame
             rows.append((package, True, metadata.version(package)))
         except metadata.PackageNotFoundError:
             rows.append((package, False, "not installed"))
+    gpu = shutil.which("nvidia-smi")
+    rows.append(("gpu", gpu is not None, gpu or "no driver found; models run on the CPU"))
+    for package in ("torch", "cv2", "mediapipe", "transformers"):
+        rows.append((package, find_spec(package) is not None, "optional, for measured columns"))
     for binary in ("ffmpeg", "ffprobe"):
         found = find_binary(binary)
         rows.append((binary, found is not None, found or "not found"))

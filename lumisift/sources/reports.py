@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -51,6 +53,26 @@ def as_text(rows: DataFrame) -> DataFrame:
     return rows.select(*out)
 
 
+def stamped(path: str, when: datetime) -> str:
+    """A name beside ``path`` with a time stamp before its suffix, for a target that cannot be replaced."""
+    head, dot, tail = path.rstrip("/").rpartition(".")
+    stamp = when.strftime("_%Y%m%d_%H%M%S")
+    return f"{head}{stamp}.{tail}" if dot and "/" not in tail else f"{path.rstrip('/')}{stamp}"
+
+
+def write_or_beside(rows: DataFrame, path: str, columns: list[str], order: list[str] | None = None, single_file: bool = False) -> str:
+    """:func:`write_report`; where the target cannot be replaced, under a stamped name beside it. Returns the path written."""
+    try:
+        write_report(rows, path, columns, order, single_file)
+        return path
+    except Exception as e:  # noqa: BLE001 - only a refused target is worked around
+        if not any(word in str(e) for word in ("Permission denied", "AccessControl", "Unable to clear output directory", "Mkdirs failed")):
+            raise
+        beside = stamped(path, datetime.now())
+        write_report(rows, beside, columns, order, single_file)
+        return beside
+
+
 def write_report(rows: DataFrame, path: str, columns: list[str], order: list[str] | None = None, single_file: bool = False) -> None:
     """CSV with exactly ``columns`` (missing ones empty, others left out). The commit protocol makes the files appear at once.
 

@@ -14,10 +14,11 @@ def new_rows(spark: SparkSession, folder: str, schema: T.StructType, files_per_t
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(folder)
 
 
-def upsert_stream(stream: DataFrame, target: str, key: str, seq: str, checkpoint: str):
+def upsert_stream(stream: DataFrame, target: str, key: str, seq: str, checkpoint: str, keep: int = 2):
     """Merge each micro-batch into a parquet report: new rows win, others stay. Returns the started query (available now, then ends).
 
-    The merged report is written beside the old one under the batch's number, and a pointer names the current one, so that a repeated batch gives the same report.
+    The merged report is written beside the old one under the batch's number, and a pointer names the current one, so that a repeated batch gives the same report. Of the merged
+    reports the last ``keep`` stay, for readers that have opened one. A batch rewrites the report, so batches should be large.
     """
 
     def merge(batch: DataFrame, number: int) -> None:
@@ -29,10 +30,21 @@ def upsert_stream(stream: DataFrame, target: str, key: str, seq: str, checkpoint
         merged = fresh if done is None else upsert(fresh, spark.read.parquet(done[0]), key, seq).drop("__part", "__order")
         place = f"{target}/batch={number:08d}"
         merged.write.mode("overwrite").parquet(place)
+        drop_before(spark, target, number, keep)
 
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def drop_before(spark: SparkSession, target: str, number: int, keep: int) -> None:
+    """Remove merged reports of batches up to ``number`` but the last ``keep`` of them."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(target)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = sorted((s.getPath() for s in fs.listStatus(path) if s.getPath().getName().startswith("batch=")), key=lambda p: p.getName())
+    for old in [p for p in found if int(p.getName().split("=")[1]) <= number][: -max(keep, 1)]:
+        fs.delete(old, True)
+
+
 def current(spark: SparkSession, target: str) -> tuple[str, int] | None:
     """Folder and number of the last complete merged report."""
     jvm = spark._jvm

@@ -111,3 +111,43 @@ def test_lookups_with_half_of_the_rows_on_one_key(spark, least):
     got = lookup.substring_join(spark.createDataFrame(names, "i bigint, name string"), "name", spark.createDataFrame(keys, "k string, s bigint"), "k", "s", least=least).collect()
     first = lambda n: min(((s, k) for k, s in keys if k and n and k in n), default=(None, None))[1]
     assert {r["i"]: r["k"] for r in got} == {i: first(n) for i, n in names}
+
+
+def test_head_pose_recovers_a_known_turn(spark):
+    rnd = np.random.default_rng(3)
+    model = np.array(kernels.MODEL_HEAD)
+    rows = []
+    for i in range(25):
+        yaw, pitch, roll = rnd.uniform([-55, -35, -30], [55, 35, 30])
+        cx, cy, cz = (np.radians(x) for x in (pitch, yaw, roll))
+        turn = kernels._turn(np.array([0, 0, cz])) @ kernels._turn(np.array([0, cy, 0])) @ kernels._turn(np.array([cx, 0, 0]))
+        seen = model @ turn.T + [30.0, -20.0, 1500.0 + 40 * i]
+        at = seen[:, :2] / seen[:, 2:] * 640 + [320, 240]
+        mesh = [[0.5, 0.5]] * 292
+        for k, (x, y) in zip(kernels.POSE_POINTS, at):
+            mesh[k] = [float(x) / 640, float(y) / 480]
+        assert kernels.head_pose(mesh, 640, 480) == pytest.approx((yaw, pitch, roll), abs=1e-3)
+        rows.append((i, mesh))
+    got = spark.createDataFrame([*rows, (99, None), (100, [[0.5, 0.5]])], "i int, m array<array<double>>").select("i", kernels.head_pose_udf(F.col("m"), F.lit(640), F.lit(480)).alias("p")).select("i", "p.*").collect()
+    assert all(r["pose_error"] is None and r["pose_yaw"] is not None for r in got if r["i"] < 25)
+    assert {r["i"]: r["pose_error"] for r in got if r["i"] > 25}[99] == "no face" and got[-1]["pose_yaw"] is None
+    assert kernels.head_pose(None, 640, 480) is None
+
+
+def test_report_beside_a_locked_target(spark, tmp_path, monkeypatch):
+    from datetime import datetime
+
+    assert reports.stamped("out/step3.csv", datetime(2026, 1, 2, 3, 4, 5)) == "out/step3_20260102_030405.csv"
+    assert reports.stamped("out.d/step3/", datetime(2026, 1, 2, 3, 4, 5)) == "out.d/step3_20260102_030405"
+    rows = spark.createDataFrame([("a",)], "filename string")
+    assert reports.write_or_beside(rows, str(tmp_path / "r"), ["filename"]) == str(tmp_path / "r")
+    first, real = [True], reports.write_report
+
+    def locked(*args, **kwargs):
+        if first.pop() if first else False:
+            raise OSError("Permission denied")
+        real(*args, **kwargs)
+
+    monkeypatch.setattr(reports, "write_report", locked)
+    beside = reports.write_or_beside(rows, str(tmp_path / "s"), ["filename"])
+    assert beside.startswith(str(tmp_path / "s_")) and spark.read.option("header", True).csv(beside).count() == 1
