@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .skew import spread_join
+from .skew import hot_threshold, spread_join
 
 #: Length of the pieces by which a substring join blocks.
 PIECE = 8
@@ -53,9 +53,9 @@ def substring_join(names: DataFrame, name: str, key_rows: DataFrame, key: str, s
     distinct = names.select(name).filter(F.col(name).isNotNull()).distinct()
     cuts = [F.transform(F.sequence(F.lit(1), F.greatest(F.length(name) - (n - 1), F.lit(1))), _cut(name, n)) for n in lengths]
     pieces = distinct.select(name, F.explode(F.array_distinct(F.concat(*cuts) if len(cuts) > 1 else cuts[0])).alias("__piece"))
-    # Every name has fewer pieces than this.
+    # A name has fewer pieces than characters, of each length, and each piece once: no piece has more rows than there are names.
     most, rows = names.agg(F.sum(F.length(name)), F.count(F.lit(1))).first()
-    met = spread_join(pieces, wanted, ["__piece"], F.col(name), (most or 0) * len(lengths), "inner", least)
+    met = spread_join(pieces, wanted, ["__piece"], F.col(name), rows, "inner", hot_threshold((most or 0) * len(lengths), least))
     hits = met.select(name, F.explode("__keys").alias("__k")).filter(F.col(name).contains(F.col("__k.k")))
     best = hits.groupBy(name).agg(F.min_by("__k.k", F.col("__k.s")).alias(key))
     return spread_join(names, best, [name], F.struct(*names.columns), rows, "left", least)
